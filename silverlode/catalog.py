@@ -18,8 +18,9 @@ from silverlode.operators.merge import merge_rows
 from silverlode.plans.facts import fact_usage_snapshot
 from silverlode.plans.models import CALENDAR, MODELS, Warehouse
 from silverlode.plans.silver.usage import clean_usage
+from silverlode.plans.suite import CHECKS
 from silverlode.sources import derived
-from silverlode.sources.raw import COLUMNS, MAX_AGE, ORDER_TABLES
+from silverlode.sources.raw import COLUMNS, MAX_AGE, ORDER_TABLES, read_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +38,16 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, raw, derived.AS_OF)
 
 
+def stored_warehouse(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
+    """The same tables over raw tables written below ``root`` beforehand."""
+    base = derived.base_tables(spark, sf_dir)
+
+    def raw(source: str) -> DataFrame:
+        return base[source] if source in ORDER_TABLES else read_raw(spark, source, root)
+
+    return Warehouse(spark, raw, derived.AS_OF)
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Decimals as doubles and timestamps without zone, as any engine has them."""
 
@@ -51,10 +62,6 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f) for f in df.schema])
 
 
-def _model(name: str, tables: Warehouse) -> DataFrame:
-    return tables[name]
-
-
 def dim_date_of_invoices(tables: Warehouse) -> DataFrame:
     """Calendar attributes of the days on which invoices were issued."""
     issued = (
@@ -92,8 +99,6 @@ def dq_singular(tables: Warehouse) -> DataFrame:
 
 def dq_suite_silver(tables: Warehouse) -> DataFrame:
     """Failures of key checks on raw usage and of the checks on customers and tickets."""
-    from silverlode.plans.suite import CHECKS
-
     raw_checks = [
         checks.Check("stg_service_usage", "usage_id", "unique"),
         checks.Check("stg_crm_customers", "msisdn", "not_null"),
@@ -153,10 +158,14 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
 }
 
 
-def _run(build: Callable[[Warehouse], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(build(warehouse(spark, sf_dir)))
+def build(name: str, tables: Warehouse) -> DataFrame:
+    """The result of a query over the given tables."""
+    return OPERATORS[name](tables) if name in OPERATORS else tables[name]
+
+
+def _run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(build(name, warehouse(spark, sf_dir)))
 
 
 def queries() -> dict[str, Query]:
-    models = {name: partial(_model, name) for name in MODELS}
-    return {name: partial(_run, build) for name, build in {**models, **OPERATORS}.items()}
+    return {name: partial(_run, name) for name in (*MODELS, *OPERATORS)}

@@ -28,7 +28,8 @@ def month_start(col: Column) -> Column:
 
 
 def month_key(col: Column) -> Column:
-    return F.date_format(col, "yyyy-MM")
+    """``YYYY-MM``. Cut from the ISO text of the date, so no time zone is involved."""
+    return F.substring(col.cast("date").cast("string"), 1, 7)
 
 
 def date_key(col: Column) -> Column:

@@ -51,7 +51,8 @@ def clean_usage(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     capped_hours = numeric.amount(F.least(hours, F.lit(HOURS_PER_DAY)))
     gap = F.abs(c("peak_usage_gb") + c("offpeak_usage_gb") - down)
     reconciles = gap <= F.greatest(F.lit(COMPONENT_TOLERANCE), down * F.lit(COMPONENT_TOLERANCE))
-    activity = down + up + voice + sms + capped_hours
+    # None of the metrics is negative, so their sum is positive if one of them is.
+    active = (down > 0) | (up > 0) | (voice > 0) | (sms > 0) | (capped_hours > 0)
     return staged.filter(c("usage_date") <= today).select(
         "usage_id",
         "customer_id",
@@ -78,11 +79,11 @@ def clean_usage(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
                 (c("usage_date").isNull(), "INVALID_DATE"),
                 (c("usage_date") > today, "FUTURE_DATE_EXCLUDED"),
                 ((hours > HOURS_PER_DAY) | (minutes > MINUTES_PER_DAY), "OUTLIER_CAPPED"),
-                (activity == 0, "NO_RECORDED_USAGE"),
+                (~active, "NO_RECORDED_USAGE"),
                 (~reconciles, "USAGE_COMPONENT_MISMATCH"),
             ],
             "VALID",
         ).alias("usage_dq_status"),
-        (activity > 0).alias("has_service_activity"),
+        active.alias("has_service_activity"),
         *lineage(),
     )
