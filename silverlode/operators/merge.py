@@ -69,6 +69,7 @@ def month_of(df: DataFrame, date: str) -> Column:
 
 
 def table_exists(spark: SparkSession, table: MergeTable) -> bool:
+    """A table comes into being with its first row."""
     return is_complete(spark, table.path)
 
 
@@ -88,15 +89,18 @@ def upsert(spark: SparkSession, table: MergeTable, batch: DataFrame) -> None:
     finish_pending(spark, table)
     scratch = scratch_path(spark, table.path)
     rows = write_and_read(batch.withColumn(MONTH, month_of(batch, table.date)), scratch)
-    if duplicate_keys(rows, table.key).take(1):
+    try:
+        if rows.isEmpty():
+            return
+        if not duplicate_keys(rows, table.key).isEmpty():
+            raise DuplicateKeys(f"batch for {table.path} repeats values of {table.key}")
+        if table_exists(spark, table):
+            _stage_months(spark, table, rows)
+            finish_pending(spark, table)
+        else:
+            _by_month(rows).write.mode("overwrite").partitionBy(MONTH).parquet(table.path)
+    finally:
         delete_path(spark, scratch)
-        raise DuplicateKeys(f"batch for {table.path} repeats values of {table.key}")
-    if table_exists(spark, table):
-        _stage_months(spark, table, rows)
-        finish_pending(spark, table)
-    else:
-        _by_month(rows).write.mode("overwrite").partitionBy(MONTH).parquet(table.path)
-    delete_path(spark, scratch)
 
 
 def _by_month(df: DataFrame) -> DataFrame:
@@ -113,8 +117,6 @@ def _stage_months(spark: SparkSession, table: MergeTable, rows: DataFrame) -> No
         touched = touched.union(moved.select(MONTH))
     # At most one number per calendar month comes to the driver.
     months = sorted(r[0] for r in touched.distinct().collect())
-    if not months:
-        return
     merged = merge_rows(current.filter(F.col(MONTH).isin(months)), rows, table.key, table.sync_columns)
     spark.createDataFrame([(m,) for m in months], f"{MONTH} int").coalesce(1).write.mode("overwrite").parquet(
         f"{table.pending}/months"

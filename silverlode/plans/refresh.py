@@ -95,8 +95,10 @@ def refresh(
             rows = tables[name].withColumn(SNAPSHOT_LOADED_AT, F.current_timestamp())
             load_fact(spark, table, rows, lookback=None)
         else:
-            load_fact(spark, table, tables[name])
-        tables.store(name, read_table(spark, table))
+            rows = tables[name]
+            load_fact(spark, table, rows)
+        stored = read_table(spark, table) if table_exists(spark, table) else spark.createDataFrame([], rows.schema)
+        tables.store(name, stored)
     for name in MARTS:
         rows = tables[name].withColumn(MART_LOADED_AT, F.current_timestamp())
         tables.store(name, write_and_read(rows, f"{root}/{name}"))

@@ -17,7 +17,9 @@ def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        # Call sites of each column expression are for debugging only.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
