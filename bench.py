@@ -55,9 +55,8 @@ def session() -> SparkSession:
 def prepare(spark: SparkSession) -> str:
     """Write the raw tables once, as they would be found on a cluster."""
     root = scratch_path(spark, tempfile.gettempdir() + "/bench")
-    base = derived.base_tables(spark, SF_DIR)
     for source in derived.STATEMENTS:
-        derived.derive(spark, source, base).repartition(int(CPUS)).write.parquet(f"{root}/{source}")
+        derived.derive(spark, source, SF_DIR).repartition(int(CPUS)).write.parquet(f"{root}/{source}")
     return root
 
 

@@ -30,20 +30,23 @@ FIRST_LOAD_UNTIL = dt.datetime(2024, 1, 15)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    base = derived.base_tables(spark, sf_dir)
+    """All tables over raw tables that are derived as they are read."""
 
     def raw(source: str) -> DataFrame:
-        return base[source] if source in ORDER_TABLES else derived.derive(spark, source, base)
+        if source in ORDER_TABLES:
+            return derived.base_table(spark, sf_dir, source)
+        return derived.derive(spark, source, sf_dir)
 
     return Warehouse(spark, raw, derived.AS_OF)
 
 
 def stored_warehouse(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     """The same tables over raw tables written below ``root`` beforehand."""
-    base = derived.base_tables(spark, sf_dir)
 
     def raw(source: str) -> DataFrame:
-        return base[source] if source in ORDER_TABLES else read_raw(spark, source, root)
+        if source in ORDER_TABLES:
+            return derived.base_table(spark, sf_dir, source)
+        return read_raw(spark, source, root)
 
     return Warehouse(spark, raw, derived.AS_OF)
 

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.operators import checks
-from silverlode.operators.incremental import high_water_mark, incremental_slice
+from silverlode.operators.incremental import changed_versions, high_water_mark, incremental_slice
 from silverlode.operators.merge import MergeTable, read_table, table_exists, upsert
 from silverlode.operators.storage import write_and_read
 from silverlode.plans.models import (
@@ -48,6 +48,21 @@ _FACT_TABLES = {
 }
 
 
+# The raw table whose rows each fact has one of.
+FACT_SOURCES = {
+    "fact_billing": "billing_invoices",
+    "fact_payment": "payments",
+    "fact_usage_snapshot": "service_usage",
+    "fact_network_event": "network_quality",
+    "fact_support_ticket": "support_tickets",
+    "fact_marketing_interaction": "marketing_retention",
+    "fact_churn_event": "churn_labels",
+    "fact_subscription_event": "subscriptions_contracts",
+    "fact_macro_monthly": "macro_monthly",
+    "fact_retention_target_monthly": "metas_retencion_region_mes",
+}
+
+
 def fact_table(root: str, name: str) -> MergeTable:
     key, date, options = _FACT_TABLES[name]
     return MergeTable(f"{root}/{name}", key, date, **options)
@@ -62,6 +77,31 @@ def load_fact(
     upsert(spark, table, rows)
 
 
+def load_changes(
+    spark: SparkSession,
+    name: str,
+    table: MergeTable,
+    raw: Callable[[str], DataFrame],
+    as_of: dt.date | None = None,
+    stored: Mapping[str, DataFrame] | None = None,
+    lookback: dt.timedelta = dt.timedelta(0),
+) -> None:
+    """Merge what is new, cleaning only the raw rows that came since the last load.
+
+    The fact ends up as if all of its silver table had been built and sliced,
+    but the history is not read. ``stored`` holds the tables it is joined with.
+    """
+    exists = table_exists(spark, table)
+    mark = high_water_mark(read_table(spark, table)) if exists else None
+
+    def newer(source: str) -> DataFrame:
+        rows = raw(source)
+        return changed_versions(rows, mark, lookback) if source == FACT_SOURCES[name] else rows
+
+    rows = Warehouse(spark, newer, as_of, stored)[name]
+    upsert(spark, table, incremental_slice(rows, mark, lookback=lookback) if exists else rows)
+
+
 def write_order_item(order_item: DataFrame, path: str) -> None:
     """Clustered by order date, so a range of dates reads few files.
 

@@ -142,11 +142,12 @@ def statement(source: str, tables: dict[str, str], repeats: dict[str, Repeat]) -
     return STATEMENTS[source].format(**tables, **repeats)
 
 
-def base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in BASE_TABLES}
+def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def derive(spark: SparkSession, source: str, base: dict[str, DataFrame]) -> DataFrame:
-    text = statement(source, {name: f"{{{name}}}" for name in base}, SPARK_REPEATS)
-    used = {name: df for name, df in base.items() if f"{{{name}}}" in text}
+def derive(spark: SparkSession, source: str, sf_dir: str) -> DataFrame:
+    """A raw table from the base tables its text names; no other is opened."""
+    text = statement(source, {name: f"{{{name}}}" for name in BASE_TABLES}, SPARK_REPEATS)
+    used = {name: base_table(spark, sf_dir, name) for name in BASE_TABLES if f"{{{name}}}" in text}
     return spark.sql(text, **used)

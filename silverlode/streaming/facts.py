@@ -14,33 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from silverlode.operators.merge import MergeTable
-from silverlode.plans.models import MODELS, Warehouse
-from silverlode.plans.refresh import load_fact
+from silverlode.plans.refresh import FACT_SOURCES, load_changes
 from silverlode.sources.raw import raw_schema
 
 
-def fact_of_batch(
-    spark: SparkSession,
-    name: str,
-    source: str,
-    batch: DataFrame,
-    stored: Mapping[str, DataFrame],
-    as_of: dt.date | None = None,
-) -> DataFrame:
-    """The fact rows of a batch of raw rows of one source, with stored tables around it."""
-
-    def raw(wanted: str) -> DataFrame:
-        if wanted != source:
-            raise KeyError(f"{name} needs {wanted}, which is neither stored nor streamed")
-        return batch
-
-    return Warehouse(spark, raw, as_of, stored)[name]
-
-
 def stream_fact(
     spark: SparkSession,
     name: str,
-    source: str,
     path: str,
     table: MergeTable,
     checkpoint: str,
@@ -53,16 +33,19 @@ def stream_fact(
     ``stored`` is asked for the joined tables at each batch, so they are as
     fresh as the batch. ``max_files`` bounds a batch, whatever the backlog.
     """
-    if name not in MODELS:
-        raise KeyError(name)
+    source = FACT_SOURCES[name]
 
     def merge(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        load_fact(session, table, fact_of_batch(session, name, source, batch, stored(), as_of))
+        def raw(wanted: str) -> DataFrame:
+            if wanted != source:
+                raise KeyError(f"{name} needs {wanted}, which is neither stored nor streamed")
+            return batch
+
+        load_changes(batch.sparkSession, name, table, raw, as_of, stored())
 
-    raw = spark.readStream.schema(raw_schema(source)).option("maxFilesPerTrigger", max_files).parquet(path)
+    files = spark.readStream.schema(raw_schema(source)).option("maxFilesPerTrigger", max_files).parquet(path)
     return (
-        raw.writeStream.foreachBatch(merge)
+        files.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
