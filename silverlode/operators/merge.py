@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.operators.storage import (
+    can_rename,
+    child_names,
     delete_path,
     is_complete,
     path_exists,
+    replace_path,
     scratch_path,
     write_and_read,
 )
@@ -118,29 +121,45 @@ def _stage_months(spark: SparkSession, table: MergeTable, rows: DataFrame) -> No
     # At most one number per calendar month comes to the driver.
     months = sorted(r[0] for r in touched.distinct().collect())
     merged = merge_rows(current.filter(F.col(MONTH).isin(months)), rows, table.key, table.sync_columns)
-    spark.createDataFrame([(m,) for m in months], f"{MONTH} int").coalesce(1).write.mode("overwrite").parquet(
-        f"{table.pending}/months"
-    )
+    staged = f"{table.pending}/rows"
+    _by_month(merged).write.mode("overwrite").partitionBy(MONTH).parquet(staged)
+    filled = set(child_names(spark, staged))
+    listed = [(m, _folder(m) in filled) for m in months]
     # The commit of this write is what makes the merge definite.
-    _by_month(merged).write.mode("overwrite").partitionBy(MONTH).parquet(f"{table.pending}/rows")
+    spark.createDataFrame(listed, f"{MONTH} int, filled boolean").coalesce(1).write.parquet(f"{table.pending}/months")
+
+
+def _folder(month: int) -> str:
+    return f"{MONTH}={month}"
 
 
 def finish_pending(spark: SparkSession, table: MergeTable) -> None:
-    """Move staged months over the table; repeating it changes nothing."""
-    staged = f"{table.pending}/rows"
-    if not is_complete(spark, staged):
+    """Move staged months over the table; repeating it changes nothing.
+
+    Where folders can be renamed, each staged month takes the place of the old
+    one; one that is no longer staged has been moved before. Elsewhere the
+    staged rows are written again, which overwrites whatever was written of
+    them before.
+    """
+    if not is_complete(spark, f"{table.pending}/months"):
         if path_exists(spark, table.pending):
             delete_path(spark, table.pending)
         return
-    months = {r[0] for r in spark.read.parquet(f"{table.pending}/months").collect()}
-    rows = spark.read.parquet(staged)
-    _by_month(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(
-        table.path
-    )
-    filled = {r[0] for r in rows.select(MONTH).distinct().collect()}
-    for month in months - filled:
-        # All rows of this month have moved to another one.
-        delete_path(spark, f"{table.path}/{MONTH}={month}")
+    staged = f"{table.pending}/rows"
+    months = spark.read.parquet(f"{table.pending}/months").collect()
+    rename = can_rename(spark, table.path)
+    if not rename:
+        rows = spark.read.parquet(staged)
+        _by_month(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            MONTH
+        ).parquet(table.path)
+    for month, filled in months:
+        source, target = f"{staged}/{_folder(month)}", f"{table.path}/{_folder(month)}"
+        if not filled:
+            # All rows of this month have moved to another one.
+            delete_path(spark, target)
+        elif rename and path_exists(spark, source):
+            replace_path(spark, source, target)
     delete_path(spark, table.pending)
 
 

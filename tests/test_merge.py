@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverlode.operators import merge as m
+from silverlode.operators import storage
 from silverlode.operators.incremental import changed_versions, high_water_mark, incremental_slice
 from silverlode.operators.latest import EXTRACTED_AT, latest_version
 from silverlode.operators.storage import CHECKPOINT_DIR, path_exists, scratch_path
@@ -25,8 +26,11 @@ def content(spark, table):
     return sorted((r.k, r.day, r.v) for r in m.read_table(spark, table).collect())
 
 
-@pytest.fixture
-def table(tmp_path):
+@pytest.fixture(params=["rename", "rewrite"])
+def table(tmp_path, request, monkeypatch):
+    """A table where folders can be renamed, and one where they cannot."""
+    if request.param == "rewrite":
+        monkeypatch.setattr(storage, "ATOMIC_RENAME", ())
     return m.MergeTable(str(tmp_path / "fact"), "k", "day")
 
 
@@ -87,6 +91,26 @@ def test_merge_that_died_after_staging_is_finished_by_the_next_reader(spark, tab
     assert not path_exists(spark, table.pending)
 
 
+def test_merge_that_died_between_two_months_is_finished(spark, table, monkeypatch):
+    m.upsert(spark, table, batch(spark, ("a", JAN, 1, T1), ("b", FEB, 1, T1), ("c", MAR, 1, T1)))
+    with monkeypatch.context() as patch:
+        replaced = []
+
+        def die_at_the_second(*args):
+            replaced.append(args)
+            if len(replaced) == 2:
+                raise RuntimeError("driver lost")
+            storage.replace_path(*args)
+
+        patch.setattr(m, "replace_path", die_at_the_second)
+        try:
+            m.upsert(spark, table, batch(spark, ("a", JAN, 2, T2), ("b", MAR, 2, T2), ("c", MAR, 2, T2)))
+        except RuntimeError:
+            assert path_exists(spark, table.pending)
+    assert content(spark, table) == [("a", JAN, 2), ("b", MAR, 2), ("c", MAR, 2)]
+    assert not path_exists(spark, f"{table.path}/{m.MONTH}=202402")
+
+
 def test_merge_that_died_before_staging_was_complete_is_dropped(spark, table):
     m.upsert(spark, table, batch(spark, ("a", JAN, 1, T1)))
     batch(spark, ("x", JAN, 9, T2)).write.parquet(f"{table.pending}/half")
