@@ -97,6 +97,14 @@ def test_loading_changes_equals_slicing_silver(spark, stored_raw, tmp_path, name
     assert same(read_table(spark, by_changes), read_table(spark, by_slices))
 
 
+def test_models_are_views(spark, stored_raw):
+    Warehouse(spark, raw_until(spark, stored_raw, 2), AS_OF).create_views()
+    found = spark.sql(
+        "SELECT count(*) FROM int_xref_customer_clean x LEFT ANTI JOIN stg_crm_customers c ON x.customer_id = trim(c.customer_id)"
+    ).first()[0]
+    assert found == 0
+
+
 def test_stored_silver_is_read_by_column(spark, tmp_path):
     """A fact takes two columns of the customers, whatever else they have."""
     silver = Warehouse(spark, lambda s: derived.derive(spark, s, SF), AS_OF)
