@@ -7,11 +7,14 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from oracle import catalog as expected_results
+from silverlode import catalog
 from tests.compare import DATA, actual, connect, expected
 
 SF = os.environ.get("TEST_SF", "0.001")
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+# The medallion models and operators; the text operators have tests of their own.
+QUERIES = catalog.queries()
+ORACLE = expected_results.oracle_sql()
 # Operators that try all pairs of rows, or leave the JVM.
 PAIRWISE_OR_PYTHON = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow")
 
