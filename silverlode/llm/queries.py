@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import html_text, packing, url_rules
+from silverlode.llm import html_text, minhash, packing, toxicity, url_rules
 from silverlode.llm.common import ship_package, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,15 @@ URL_RULES = [
 ]
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -46,5 +55,12 @@ def _query(run: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    run.__name__: _query(run) for run in (op5_url_filters, op9_html_extraction, op10_best_fit_packing)
+    run.__name__: _query(run)
+    for run in (
+        op2_minhash_near_dedup,
+        op4_toxicity,
+        op5_url_filters,
+        op9_html_extraction,
+        op10_best_fit_packing,
+    )
 }
