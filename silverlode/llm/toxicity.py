@@ -16,12 +16,14 @@ from pyspark.sql import types as T
 # Bounds of the fit: labelled rows of each class that it learns from, and features that it keeps.
 SAMPLE_PER_CLASS = 6000
 FEATURES = 2048
-# A feature is kept only if it occurs in so many documents of the sample.
+# A feature is kept only if it occurs in so many documents of the sample, and with a label more often than chance
+# explains: the chi-squared statistic of one degree of freedom that so many features do not reach by chance.
 MIN_DOCUMENTS = 4
+MIN_CONTRAST = 15.0
 # Stems tell more than words where words inflect: prefixes of these lengths are features too.
 PREFIXES = (4, 5, 6, 7)
 THRESHOLD = 0.7
-RIDGE = 1e-4
+RIDGE = 1e-5
 SWAP_PENALTY = 1.0
 STEPS = 400
 CACHED_WORDS = 200_000
@@ -194,8 +196,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
     sizes = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("n_toxic")).first()
     share = sizes["n_toxic"] / max(sizes["n"], 1)
     expected = F.col("n") * share
-    contrast = (F.col("n_toxic") - expected) ** 2 / F.greatest(expected, F.lit(1e-9))
-    top = counts.orderBy(contrast.desc(), "feature").limit(width).collect()
+    contrast = (F.col("n_toxic") - expected) ** 2 / F.greatest(expected * (1 - share), F.lit(1e-9))
+    top = counts.filter(contrast >= MIN_CONTRAST).orderBy(contrast.desc(), "feature").limit(width).collect()
     index = {r["feature"]: i for i, r in enumerate(top)}
     # Partners of an identity term are kept with it, so that a swap can move the weight.
     for term in [t for t in index if t in SWAPS]:
