@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import html_text, minhash, packing, toxicity, url_rules
+from silverlode.llm import decontaminate, html_text, minhash, packing, toxicity, url_rules
 from silverlode.llm.common import ship_package, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_text.main_text(pages, stored(html_text.site_templates(pages)))
@@ -60,6 +64,7 @@ QUERIES: dict[str, Query] = {
         op2_minhash_near_dedup,
         op4_toxicity,
         op5_url_filters,
+        op8_decontamination,
         op9_html_extraction,
         op10_best_fit_packing,
     )
