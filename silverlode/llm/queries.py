@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import decontaminate, html_text, minhash, packing, toxicity, url_rules
+from silverlode.llm import decontaminate, html_text, minhash, packing, secrets, toxicity, url_rules
 from silverlode.llm.common import ship_package, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     run.__name__: _query(run)
     for run in (
         op2_minhash_near_dedup,
+        op3_secret_scans,
         op4_toxicity,
         op5_url_filters,
         op8_decontamination,
