@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from silverlode.llm import decontaminate, html_text, minhash, packing, secrets, toxicity, url_rules
+from silverlode.llm import decontaminate, hnsw, html_text, minhash, packing, secrets, toxicity, url_rules
 from silverlode.llm.common import ship_package, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,11 @@ URL_RULES = [
 ]
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
@@ -65,6 +71,7 @@ def _query(run: Query) -> Query:
 QUERIES: dict[str, Query] = {
     run.__name__: _query(run)
     for run in (
+        op1_nearest_neighbours,
         op2_minhash_near_dedup,
         op3_secret_scans,
         op4_toxicity,
