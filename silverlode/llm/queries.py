@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import decontaminate, hnsw, html_text, katz, minhash, packing, secrets, toxicity, url_rules
+from silverlode.llm import decontaminate, hnsw, html_text, katz, minhash, packing, repeats, secrets, toxicity, url_rules
 from silverlode.llm.common import ship_package, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaked_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
         op4_toxicity,
         op5_url_filters,
         op6_lm_scoring,
+        op7_suffix_array_dedup,
         op8_decontamination,
         op9_html_extraction,
         op10_best_fit_packing,
