@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from silverlode.operators.storage import (
-    can_rename,
-    child_names,
-    delete_path,
-    is_complete,
-    path_exists,
-    replace_path,
-    scratch_path,
-    write_and_read,
-)
+from silverlode.operators.incremental import WATERMARK, high_water_mark
+from silverlode.operators.storage import child_names, delete_path, path_exists, scratch_path, write_and_read
 
+BUCKET = "part_bucket"
 MONTH = "part_month"
 NO_MONTH = 0
 
@@ -28,13 +23,14 @@ class DuplicateKeys(ValueError):
 
 @dataclass(frozen=True)
 class MergeTable:
-    """A fact table on files, split by month.
+    """A fact table on files, split by a hash bucket of the key and by month.
 
     ``date`` is a date, or a ``YYYYMMDD`` number, that decides the month. Where
     the key contains that date (``key_fixes_month``), a row cannot change its
-    month and the rest of the table need not be searched for it. With
+    month and the rest of its bucket need not be searched for it. With
     ``sync_columns`` the table takes over the columns of each batch; otherwise
-    its own columns stay.
+    its own columns stay. The number of ``buckets`` is fixed for the life of a
+    table; it splits months that a single task could not rewrite.
     """
 
     path: str
@@ -42,10 +38,12 @@ class MergeTable:
     date: str
     key_fixes_month: bool = False
     sync_columns: bool = False
+    buckets: int = 4
 
     @property
-    def pending(self) -> str:
-        return f"{self.path}.pending"
+    def state(self) -> str:
+        """One row beside the table: its newest timestamp and its columns."""
+        return f"{self.path}.state"
 
 
 def merge_rows(target: DataFrame, batch: DataFrame, key: str, sync_columns: bool = False) -> DataFrame:
@@ -71,96 +69,110 @@ def month_of(df: DataFrame, date: str) -> Column:
     return F.coalesce(month.cast("int"), F.lit(NO_MONTH))
 
 
+def bucket_of(table: MergeTable) -> Column:
+    return F.pmod(F.xxhash64(F.col(table.key)), F.lit(table.buckets)).cast("int")
+
+
 def table_exists(spark: SparkSession, table: MergeTable) -> bool:
     """A table comes into being with its first row."""
-    return is_complete(spark, table.path)
+    return path_exists(spark, table.path) and any(n.startswith(f"{BUCKET}=") for n in child_names(spark, table.path))
+
+
+def _state(spark: SparkSession, table: MergeTable) -> tuple[T.StructType, int | None] | None:
+    """Columns and newest timestamp as of the last load that ended; None if that is not known."""
+    if not path_exists(spark, table.state) or not any(n.endswith(".parquet") for n in child_names(spark, table.state)):
+        return None
+    row = spark.read.schema("columns string, mark long").parquet(table.state).first()
+    return (T.StructType.fromJson(json.loads(row["columns"])), row["mark"]) if row else None
+
+
+def _note_state(spark: SparkSession, table: MergeTable, columns: T.StructType, mark: int | None) -> None:
+    note = spark.createDataFrame([(columns.json(), mark)], "columns string, mark long")
+    note.coalesce(1).write.mode("overwrite").parquet(table.state)
+
+
+def _stored_rows(spark: SparkSession, table: MergeTable) -> DataFrame:
+    """All columns and the two that the table is split by."""
+    known = _state(spark, table)
+    if known is None:
+        # A load died before it could note the columns; the files tell them.
+        return spark.read.option("mergeSchema", True).parquet(table.path)
+    split = [T.StructField(BUCKET, T.IntegerType()), T.StructField(MONTH, T.IntegerType())]
+    return spark.read.schema(T.StructType([*known[0].fields, *split])).parquet(table.path)
 
 
 def read_table(spark: SparkSession, table: MergeTable) -> DataFrame:
-    """The rows of the table, without the column it is split by."""
-    finish_pending(spark, table)
-    return spark.read.option("mergeSchema", table.sync_columns).parquet(table.path).drop(MONTH)
+    """The rows of the table, without the columns it is split by. Reading changes nothing."""
+    return _stored_rows(spark, table).drop(BUCKET, MONTH)
+
+
+def table_mark(spark: SparkSession, table: MergeTable) -> int | None:
+    """Newest timestamp of the table, in microseconds, as the last load noted it; None for no table."""
+    known = _state(spark, table)
+    if known is not None:
+        return known[1]
+    return high_water_mark(read_table(spark, table)) if table_exists(spark, table) else None
 
 
 def upsert(spark: SparkSession, table: MergeTable, batch: DataFrame) -> None:
-    """Merge a batch into the table, rewriting only the months it touches.
+    """Merge a batch into the table, rewriting only the buckets of months that it touches.
 
-    The new months are first written in full next to the table and only then
-    moved over it. A run that dies on the way is finished by the next one
-    before it reads the table, so no batch is lost or applied by half.
+    What a load writes last is the mark. One that died before that is simply run
+    again: its batch is still newer than the mark, and merging by key repeats
+    itself, also over months that were already rewritten or not yet emptied.
+    One writer at a time; readers in between may see a part of the load.
     """
-    finish_pending(spark, table)
     scratch = scratch_path(spark, table.path)
-    rows = write_and_read(batch.withColumn(MONTH, month_of(batch, table.date)), scratch)
+    split = batch.withColumn(BUCKET, bucket_of(table)).withColumn(MONTH, month_of(batch, table.date))
+    rows = write_and_read(split, f"{scratch}/batch")
     try:
         if rows.isEmpty():
             return
         if not duplicate_keys(rows, table.key).isEmpty():
             raise DuplicateKeys(f"batch for {table.path} repeats values of {table.key}")
+        mark = high_water_mark(rows) if WATERMARK in batch.columns else None
+        columns = batch.schema
         if table_exists(spark, table):
-            _stage_months(spark, table, rows)
-            finish_pending(spark, table)
+            current = _stored_rows(spark, table)
+            if not table.sync_columns:
+                columns = current.drop(BUCKET, MONTH).schema
+            mark = max((m for m in (mark, table_mark(spark, table)) if m is not None), default=None)
+            _rewrite(spark, table, current, rows, f"{scratch}/merged")
         else:
-            _by_month(rows).write.mode("overwrite").partitionBy(MONTH).parquet(table.path)
+            _write_parts(rows, table.path)
+        _note_state(spark, table, columns, mark)
     finally:
         delete_path(spark, scratch)
 
 
-def _by_month(df: DataFrame) -> DataFrame:
-    """Few files per month, while adaptive execution splits a month that is large."""
-    return df.hint("rebalance", MONTH)
+def _write_parts(rows: DataFrame, path: str) -> None:
+    """Replace the parts that the rows belong to; adaptive execution splits a large part into several files."""
+    parts = rows.hint("rebalance", BUCKET, MONTH)
+    parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, MONTH).parquet(path)
 
 
-def _stage_months(spark: SparkSession, table: MergeTable, rows: DataFrame) -> None:
-    current = spark.read.option("mergeSchema", table.sync_columns).parquet(table.path)
-    touched = rows.select(MONTH)
+def _rewrite(spark: SparkSession, table: MergeTable, current: DataFrame, rows: DataFrame, scratch: str) -> None:
+    touched = rows.select(BUCKET, MONTH)
     if not table.key_fixes_month:
-        # Only two columns of the table are read for this.
-        moved = current.select(table.key, MONTH).join(rows.select(table.key), table.key, "left_semi")
-        touched = touched.union(moved.select(MONTH))
-    # At most one number per calendar month comes to the driver.
-    months = sorted(r[0] for r in touched.distinct().collect())
-    merged = merge_rows(current.filter(F.col(MONTH).isin(months)), rows, table.key, table.sync_columns)
-    staged = f"{table.pending}/rows"
-    _by_month(merged).write.mode("overwrite").partitionBy(MONTH).parquet(staged)
-    filled = set(child_names(spark, staged))
-    listed = [(m, _folder(m) in filled) for m in months]
-    # The commit of this write is what makes the merge definite.
-    spark.createDataFrame(listed, f"{MONTH} int, filled boolean").coalesce(1).write.parquet(f"{table.pending}/months")
-
-
-def _folder(month: int) -> str:
-    return f"{MONTH}={month}"
-
-
-def finish_pending(spark: SparkSession, table: MergeTable) -> None:
-    """Move staged months over the table; repeating it changes nothing.
-
-    Where folders can be renamed, each staged month takes the place of the old
-    one; one that is no longer staged has been moved before. Elsewhere the
-    staged rows are written again, which overwrites whatever was written of
-    them before.
-    """
-    if not is_complete(spark, f"{table.pending}/months"):
-        if path_exists(spark, table.pending):
-            delete_path(spark, table.pending)
-        return
-    staged = f"{table.pending}/rows"
-    months = spark.read.parquet(f"{table.pending}/months").collect()
-    rename = can_rename(spark, table.path)
-    if not rename:
-        rows = spark.read.parquet(staged)
-        _by_month(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            MONTH
-        ).parquet(table.path)
-    for month, filled in months:
-        source, target = f"{staged}/{_folder(month)}", f"{table.path}/{_folder(month)}"
-        if not filled:
-            # All rows of this month have moved to another one.
-            delete_path(spark, target)
-        elif rename and path_exists(spark, source):
-            replace_path(spark, source, target)
-    delete_path(spark, table.pending)
+        # A bucket in which the batch has keys is searched for their old months; only its key column is read.
+        buckets = [r[0] for r in rows.select(BUCKET).distinct().collect()]
+        old = current.filter(F.col(BUCKET).isin(buckets)).select(table.key, BUCKET, MONTH)
+        touched = touched.union(old.join(rows.select(table.key), table.key, "left_semi").select(BUCKET, MONTH))
+    # At most one pair per bucket and calendar month comes to the driver.
+    parts = sorted(map(tuple, touched.distinct().collect()))
+    of_bucket: dict[int, list[int]] = {}
+    for bucket, month in parts:
+        of_bucket.setdefault(bucket, []).append(month)
+    wanted = F.lit(False)
+    for bucket, months in of_bucket.items():
+        wanted |= (F.col(BUCKET) == bucket) & F.col(MONTH).isin(months)
+    merged = write_and_read(merge_rows(current.filter(wanted), rows, table.key, table.sync_columns), scratch)
+    filled = set(map(tuple, merged.select(BUCKET, MONTH).distinct().collect()))
+    _write_parts(merged, table.path)
+    for bucket, month in parts:
+        if (bucket, month) not in filled:
+            # All rows of this part have moved to another month.
+            delete_path(spark, f"{table.path}/{BUCKET}={bucket}/{MONTH}={month}")
 
 
 def merge_into(batch: DataFrame, table: str, key: str) -> None:

@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-ATOMIC_RENAME = ("hdfs", "viewfs", "file")
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -31,26 +30,6 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(jpath)]
 
 
-def can_rename(spark: SparkSession, path: str) -> bool:
-    """True where a folder moves in one step; object stores copy its files one by one."""
-    fs, _ = _file_system(spark, path)
-    return fs.getScheme() in ATOMIC_RENAME
-
-
-def replace_path(spark: SparkSession, source: str, target: str) -> None:
-    """Put a folder in the place of another."""
-    fs, old = _file_system(spark, target)
-    _, new = _file_system(spark, source)
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"could not move {source} to {target}")
-
-
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """True if the last write to the path was committed."""
-    return path_exists(spark, f"{path}/_SUCCESS")
-
-
 def scratch_path(spark: SparkSession, beside: str) -> str:
     """A new path for an intermediate table that every executor can reach.
 

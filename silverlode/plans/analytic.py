@@ -213,14 +213,12 @@ def friction_monthly(
     network: DataFrame,
     support: DataFrame,
     customer: DataFrame,
-    profile: Sequence[Column | str] = (),
 ) -> DataFrame:
     """Billing, payment, usage, network and support friction of each customer-month.
 
-    ``profile`` names further customer columns to bring along in the same join.
     """
     measures = friction_measures(billing, payment, usage, network, support)
-    known = customer.select("customer_id", "region", *profile)
+    known = customer.select("customer_id", "region")
     extra = known.columns[2:]
     return measures.join(known, "customer_id", "left").select(
         "customer_id",
@@ -266,11 +264,7 @@ def campaign_effectiveness(marketing: DataFrame, customer: DataFrame) -> DataFra
 
 
 def churn_features(
-    billing: DataFrame,
-    payment: DataFrame,
-    usage: DataFrame,
-    network: DataFrame,
-    support: DataFrame,
+    friction: DataFrame,
     customer: DataFrame,
     subscription: DataFrame,
     macro: DataFrame,
@@ -283,14 +277,8 @@ def churn_features(
     customer each; they meet the customer-months on one partitioning.
     """
     c = F.col
-    friction = friction_monthly(
-        billing,
-        payment,
-        usage,
-        network,
-        support,
-        customer,
-        profile=["age", "gender", "customer_segment", c("senior_citizen").alias("is_senior_citizen")],
+    profile = customer.select(
+        "customer_id", "age", "gender", "customer_segment", c("senior_citizen").alias("is_senior_citizen")
     )
     contract = latest_per_key(
         subscription.select(
@@ -310,7 +298,8 @@ def churn_features(
     )
     observed = F.last_day("month_start")
     joined = (
-        friction.join(contract, "customer_id", "left")
+        friction.join(profile, "customer_id", "left")
+        .join(contract, "customer_id", "left")
         .join(churn.select("customer_id", "churn_date"), "customer_id", "left")
         # One row per past month with a four-digit year: at most 12 times as
         # many rows as the year has, whatever the size of the other tables.
@@ -318,7 +307,7 @@ def churn_features(
     )
     due = (c("churn_date") > observed) & (c("churn_date") <= F.date_add(observed, LABEL_DAYS))
     return joined.filter(c("churn_date").isNull() | (c("churn_date") > observed)).select(
-        *[n for n in friction.columns if n not in ("age", "gender", "customer_segment", "is_senior_citizen")],
+        *[friction[n] for n in friction.columns],
         observed.alias("observation_date"),
         "age",
         "gender",

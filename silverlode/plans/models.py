@@ -72,7 +72,14 @@ ANALYTIC = {
         analytic.campaign_effectiveness, ("int_marketing_clean", "int_customer_clean")
     ),
     "int_r5_ml_features": Model(
-        analytic.churn_features, (*_FRICTION, "int_subscription_clean", "int_macro_clean", "int_churn_clean")
+        analytic.churn_features,
+        (
+            "int_r3_friction_monthly",
+            "int_customer_clean",
+            "int_subscription_clean",
+            "int_macro_clean",
+            "int_churn_clean",
+        ),
     ),
 }
 DIMENSIONS = {

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.operators import checks
-from silverlode.operators.incremental import changed_versions, high_water_mark, incremental_slice
-from silverlode.operators.merge import MergeTable, read_table, table_exists, upsert
+from silverlode.operators.incremental import changed_versions, incremental_slice
+from silverlode.operators.merge import MergeTable, read_table, table_exists, table_mark, upsert
 from silverlode.operators.storage import write_and_read
 from silverlode.plans.models import (
     CALENDAR,
@@ -27,6 +27,7 @@ from silverlode.plans.suite import CHECKS
 MART_LOADED_AT = "dbt_loaded_at"
 SNAPSHOT_LOADED_AT = "dw_loaded_at"
 SNAPSHOT = "fact_customer_month_snapshot"
+FRICTION = "int_r3_friction_monthly"
 
 # Key of each fact, the date it is split by, and how it is merged.
 _FACT_TABLES = {
@@ -73,7 +74,7 @@ def load_fact(
 ) -> None:
     """Merge the rows that are newer than the table; ``lookback=None`` merges all."""
     if lookback is not None and table_exists(spark, table):
-        rows = incremental_slice(rows, high_water_mark(read_table(spark, table)), lookback=lookback)
+        rows = incremental_slice(rows, table_mark(spark, table), lookback=lookback)
     upsert(spark, table, rows)
 
 
@@ -92,7 +93,7 @@ def load_changes(
     but the history is not read. ``stored`` holds the tables it is joined with.
     """
     exists = table_exists(spark, table)
-    mark = high_water_mark(read_table(spark, table)) if exists else None
+    mark = table_mark(spark, table)
 
     def newer(source: str) -> DataFrame:
         rows = raw(source)
@@ -139,6 +140,8 @@ def refresh(
             load_fact(spark, table, rows)
         stored = read_table(spark, table) if table_exists(spark, table) else spark.createDataFrame([], rows.schema)
         tables.store(name, stored)
+    # Read by two marts.
+    tables.store(FRICTION, write_and_read(tables[FRICTION], f"{root}/{FRICTION}"))
     for name in MARTS:
         rows = tables[name].withColumn(MART_LOADED_AT, F.current_timestamp())
         tables.store(name, write_and_read(rows, f"{root}/{name}"))

@@ -1,8 +1,10 @@
 """Facts fed from raw files as they arrive.
 
-The query keeps track of the files it has read; each batch of them is cleaned,
-reduced to what is newer than the fact, and merged by key. A batch that is
-delivered again after a failure is merged again to the same result.
+The query keeps track of the files it has read. All that have arrived since are
+one batch, whatever their number, as rows of one run are compared with one mark:
+in several batches the first would raise the mark above rows of the next. The
+batch is cleaned, reduced to what is newer than the fact, and merged by key. One
+that is delivered again after a failure is merged again to the same result.
 """
 
 from __future__ import annotations
@@ -26,12 +28,11 @@ def stream_fact(
     checkpoint: str,
     stored: Callable[[], Mapping[str, DataFrame]] = dict,
     as_of: dt.date | None = None,
-    max_files: int = 1000,
 ) -> StreamingQuery:
     """Read all raw files that have not been read yet, then stop.
 
-    ``stored`` is asked for the joined tables at each batch, so they are as
-    fresh as the batch. ``max_files`` bounds a batch, whatever the backlog.
+    ``stored`` is asked for the joined tables when the batch is merged, so they
+    are as fresh as the batch.
     """
     source = FACT_SOURCES[name]
 
@@ -43,7 +44,7 @@ def stream_fact(
 
         load_changes(batch.sparkSession, name, table, raw, as_of, stored())
 
-    files = spark.readStream.schema(raw_schema(source)).option("maxFilesPerTrigger", max_files).parquet(path)
+    files = spark.readStream.schema(raw_schema(source)).parquet(path)
     return (
         files.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)

@@ -108,9 +108,8 @@ def test_label_window_and_leakage(spark, churned_on, label):
         ("2024-01", 1.0, 2.0, 3.0, 4.0, 1),
     )
     churn = silver(spark, "customer_id string, churn_date date", *([("C1", churned_on)] if churned_on else []))
-    found = analytic.churn_features(
-        bills, payment(spark), usage, network, support.filter("false"), known, subscriptions, macro, churn
-    ).collect()
+    friction = analytic.friction_monthly(bills, payment(spark), usage, network, support.filter("false"), known)
+    found = analytic.churn_features(friction, known, subscriptions, macro, churn).collect()
     if label == "gone":
         assert found == []
     else:

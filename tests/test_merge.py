@@ -8,10 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverlode.operators import merge as m
-from silverlode.operators import storage
 from silverlode.operators.incremental import changed_versions, high_water_mark, incremental_slice
 from silverlode.operators.latest import EXTRACTED_AT, latest_version
-from silverlode.operators.storage import CHECKPOINT_DIR, path_exists, scratch_path
+from silverlode.operators.storage import CHECKPOINT_DIR, scratch_path
 
 SCHEMA = "k string, day date, v int, source_extracted_at timestamp"
 T1, T2, T3 = (dt.datetime(2024, 1, d) for d in (1, 2, 3))
@@ -26,14 +25,16 @@ def content(spark, table):
     return sorted((r.k, r.day, r.v) for r in m.read_table(spark, table).collect())
 
 
-@pytest.fixture(params=["rename", "rewrite"])
-def table(tmp_path, request, monkeypatch):
-    """A table where folders can be renamed, and one where they cannot."""
-    if request.param == "rewrite":
-        monkeypatch.setattr(storage, "ATOMIC_RENAME", ())
+@pytest.fixture
+def table(tmp_path):
     return m.MergeTable(str(tmp_path / "fact"), "k", "day")
 
 
+def months_of(tmp_path):
+    """Folders of the table, by month."""
+    return {p.name.removeprefix(f"{m.MONTH}=") for p in (tmp_path / "fact").glob(f"{m.BUCKET}=*/{m.MONTH}=*")}
+
+
 def test_upsert_updates_adds_and_keeps(spark, table):
     m.upsert(spark, table, batch(spark, ("a", JAN, 1, T1), ("b", FEB, 1, T1), ("c", None, 1, T1)))
     second = batch(spark, ("a", JAN, 2, T2), ("d", MAR, 2, T2))
@@ -44,18 +45,42 @@ def test_upsert_updates_adds_and_keeps(spark, table):
     assert sorted(content(spark, table), key=str) == sorted(want, key=str)
 
 
-def test_row_moves_to_another_month_and_empties_its_old_one(spark, table):
+def test_row_moves_to_another_month_and_empties_its_old_one(spark, table, tmp_path):
     m.upsert(spark, table, batch(spark, ("a", JAN, 1, T1), ("b", FEB, 1, T1)))
     m.upsert(spark, table, batch(spark, ("a", MAR, 2, T2)))
     assert content(spark, table) == [("a", MAR, 2), ("b", FEB, 1)]
-    assert not path_exists(spark, f"{table.path}/{m.MONTH}=202401")
+    assert "202401" not in months_of(tmp_path)
 
 
-def test_untouched_months_are_not_rewritten(spark, table, tmp_path):
-    m.upsert(spark, table, batch(spark, ("a", JAN, 1, T1), ("b", FEB, 1, T1)))
-    before = sorted(p.name for p in (tmp_path / "fact" / f"{m.MONTH}=202402").iterdir())
-    m.upsert(spark, table, batch(spark, ("a", JAN, 2, T2)))
-    assert sorted(p.name for p in (tmp_path / "fact" / f"{m.MONTH}=202402").iterdir()) == before
+def test_only_the_buckets_and_months_of_the_batch_are_rewritten(spark, tmp_path):
+    table = m.MergeTable(str(tmp_path / "fact"), "k", "day", buckets=64)
+    m.upsert(spark, table, batch(spark, *[(f"k{i}", JAN if i % 2 else FEB, 1, T1) for i in range(400)]))
+
+    def files():
+        return {p.relative_to(tmp_path) for p in (tmp_path / "fact").rglob("*.parquet")}
+
+    before = files()
+    changed = [f"k{i}" for i in range(10)]
+    m.upsert(spark, table, batch(spark, *[(k, MAR, 2, T2) for k in changed]))
+    kept = {p.parent for p in before & files()}
+    rewritten = {p.parent for p in before} - kept
+    buckets = {r[0] for r in batch(spark, *[(k, MAR, 2, T2) for k in changed]).select(m.bucket_of(table)).collect()}
+    assert {p.parts[1] for p in rewritten} <= {f"{m.BUCKET}={b}" for b in buckets}
+    assert len(rewritten) <= 10
+    assert m.read_table(spark, table).count() == 400
+    assert m.read_table(spark, table).filter(F.col("v") == 2).count() == 10
+
+
+def test_a_missing_success_marker_does_not_turn_a_merge_into_an_overwrite(spark, table):
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        m.upsert(spark, table, batch(spark, ("a", JAN, 1, T1)))
+        m.upsert(spark, table, batch(spark, ("b", JAN, 1, T2)))
+        assert content(spark, table) == [("a", JAN, 1), ("b", JAN, 1)]
+        assert m.table_mark(spark, table) is not None
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
 
 
 def test_repeated_keys_in_a_batch_are_refused(spark, table):
@@ -71,51 +96,55 @@ def test_empty_batch_changes_nothing(spark, table):
     assert content(spark, table) == [("a", JAN, 1)]
 
 
-def test_merge_that_died_after_staging_is_finished_by_the_next_reader(spark, table, monkeypatch):
-    m.upsert(spark, table, batch(spark, ("a", JAN, 1, T1), ("b", FEB, 1, T1)))
-    with monkeypatch.context() as patch:
-        original = m.finish_pending
-        calls = []
-
-        def die_at_the_end(*args):
-            calls.append(args)
-            if len(calls) > 1:
-                raise RuntimeError("executor lost")
-            return original(*args)
-
-        patch.setattr(m, "finish_pending", die_at_the_end)
-        with pytest.raises(RuntimeError):
-            m.upsert(spark, table, batch(spark, ("a", MAR, 2, T2)))
-    assert path_exists(spark, table.pending)
-    assert content(spark, table) == [("a", MAR, 2), ("b", FEB, 1)]
-    assert not path_exists(spark, table.pending)
+@pytest.mark.parametrize("at", ["before", "within", "emptying", "after"])
+def test_load_that_died_is_mended_by_running_it_again(spark, table, tmp_path, monkeypatch, at):
+    m.upsert(spark, table, batch(spark, ("a", JAN, 1, T1), ("b", FEB, 1, T1), ("c", MAR, 1, T1)))
+    mark = m.table_mark(spark, table)
+    second = batch(spark, ("a", MAR, 2, T2), ("b", MAR, 2, T2), ("d", JAN, 2, T2))
 
+    def die(*_):
+        raise RuntimeError("driver lost")
 
-def test_merge_that_died_between_two_months_is_finished(spark, table, monkeypatch):
-    m.upsert(spark, table, batch(spark, ("a", JAN, 1, T1), ("b", FEB, 1, T1), ("c", MAR, 1, T1)))
     with monkeypatch.context() as patch:
-        replaced = []
+        write, delete = m._write_parts, m.delete_path
+        if at == "before":
+            patch.setattr(m, "_write_parts", die)
+        elif at == "within":
+
+            def half(rows, path):
+                write(rows.filter("k <> 'b'"), path)
+                die()
+
+            patch.setattr(m, "_write_parts", half)
+        elif at == "emptying":
+            patch.setattr(m, "delete_path", lambda s, p: die() if m.MONTH in p else delete(s, p))
+        else:
+            patch.setattr(m, "_note_state", die)
+        with pytest.raises(RuntimeError):
+            m.upsert(spark, table, second)
+    assert m.table_mark(spark, table) == mark
+    m.upsert(spark, table, second)
+    assert content(spark, table) == [("a", MAR, 2), ("b", MAR, 2), ("c", MAR, 1), ("d", JAN, 2)]
+    assert m.table_mark(spark, table) > mark
+    assert "202402" not in months_of(tmp_path)
 
-        def die_at_the_second(*args):
-            replaced.append(args)
-            if len(replaced) == 2:
-                raise RuntimeError("driver lost")
-            storage.replace_path(*args)
 
-        patch.setattr(m, "replace_path", die_at_the_second)
-        try:
-            m.upsert(spark, table, batch(spark, ("a", JAN, 2, T2), ("b", MAR, 2, T2), ("c", MAR, 2, T2)))
-        except RuntimeError:
-            assert path_exists(spark, table.pending)
-    assert content(spark, table) == [("a", JAN, 2), ("b", MAR, 2), ("c", MAR, 2)]
-    assert not path_exists(spark, f"{table.path}/{m.MONTH}=202402")
+def test_reading_changes_nothing_and_opens_no_foreign_month(spark, table, tmp_path):
+    m.upsert(spark, table, batch(spark, ("a", JAN, 1, T1), ("b", FEB, 1, T1)))
+    before = sorted(str(p) for p in tmp_path.rglob("*"))
+    assert len(content(spark, table)) == 2
+    assert m.table_mark(spark, table) == high_water_mark(m.read_table(spark, table))
+    assert sorted(str(p) for p in tmp_path.rglob("*")) == before
 
 
-def test_merge_that_died_before_staging_was_complete_is_dropped(spark, table):
-    m.upsert(spark, table, batch(spark, ("a", JAN, 1, T1)))
-    batch(spark, ("x", JAN, 9, T2)).write.parquet(f"{table.pending}/half")
-    assert content(spark, table) == [("a", JAN, 1)]
-    assert not path_exists(spark, table.pending)
+def test_dropped_column_is_gone_in_untouched_months_too(spark, tmp_path):
+    wide = "k string, day date, extra string, source_extracted_at timestamp"
+    narrow = "k string, day date, source_extracted_at timestamp"
+    table = m.MergeTable(str(tmp_path / "fact"), "k", "day", sync_columns=True)
+    m.upsert(spark, table, batch(spark, ("a", JAN, "x", T1), ("b", FEB, "y", T1), schema=wide))
+    m.upsert(spark, table, batch(spark, ("a", JAN, T2), schema=narrow))
+    assert m.read_table(spark, table).columns == ["k", "day", "source_extracted_at"]
+    assert m.read_table(spark, table).count() == 2
 
 
 def test_key_that_fixes_the_month_keeps_stale_rows(spark, tmp_path):
