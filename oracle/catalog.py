@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+from oracle.constants import LINEITEM, ORDERS
 from oracle.decimals import DECIMALS
 from oracle.idioms import TODAY
 from oracle.models import ANALYTIC, GOLD, SILVER
-from silverlode.plans.bronze import LINEITEM, ORDERS
 from silverlode.sources.derived import BASE_TABLES, STATEMENTS, Repeat, statement
 
 REPEATS = {
@@ -20,6 +20,8 @@ _day = "usage_date <= " + TODAY
 _first_load = "_airbyte_extracted_at <= TIMESTAMP '2024-01-15'"
 _usage_sql = SILVER["int_usage_clean"][1]
 _fact_sql = GOLD["fact_usage_snapshot"][1]
+_upserted = """SELECT * FROM incremental_slice UNION ALL
+SELECT * FROM first_fact WHERE usage_key NOT IN (SELECT usage_key FROM incremental_slice)"""
 LOADS = {
     "first_usage": (("service_usage",), f"SELECT * FROM service_usage WHERE {_first_load}"),
     "first_clean": (("first_usage",), _usage_sql.replace("FROM service_usage", "FROM first_usage")),
@@ -29,11 +31,8 @@ LOADS = {
         """SELECT * FROM fact_usage_snapshot
 WHERE source_extracted_at > (SELECT coalesce(max(source_extracted_at), TIMESTAMP '1900-01-01') FROM first_fact)""",
     ),
-    "upsert": (
-        ("first_fact", "incremental_slice"),
-        """SELECT * FROM incremental_slice UNION ALL
-SELECT * FROM first_fact WHERE usage_key NOT IN (SELECT usage_key FROM incremental_slice)""",
-    ),
+    "upsert": (("first_fact", "incremental_slice"), _upserted),
+    "upsert_files": (("first_fact", "incremental_slice"), _upserted),
 }
 _calendar = f"""
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS calendar_date, CAST(year(d) AS INTEGER) AS year_number,
@@ -119,7 +118,8 @@ OPERATORS = {
     "dq_between": (("crm_customers",), "SELECT * FROM crm_customers WHERE age < 18 OR age > 120"),
     "dq_singular": (
         ("order_item",),
-        "SELECT order_key, line_number, extended_price, item_discount_amount FROM order_item"
+        "SELECT order_key, line_number, extended_price, item_discount_amount FROM (SELECT * REPLACE (CASE WHEN order_key % 50 = 0"
+        " THEN CAST(extended_price * -2 AS DECIMAL(16, 2)) ELSE item_discount_amount END AS item_discount_amount) FROM order_item)"
         " WHERE -item_discount_amount > extended_price OR item_discount_amount > extended_price",
     ),
     "dq_suite_silver": (

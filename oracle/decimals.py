@@ -54,6 +54,7 @@ DECIMALS: dict[str, tuple[str, ...]] = {
     "order_item": DISCOUNT,
     "incremental_slice": USAGE_FACT,
     "upsert": USAGE_FACT,
+    "upsert_files": USAGE_FACT,
     "dq_relationships": USAGE,
     "dq_singular": DISCOUNT,
     "stg_subscriptions_contracts": PRICE,

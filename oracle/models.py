@@ -8,6 +8,15 @@ arithmetic for rounded quotients.
 
 from __future__ import annotations
 
+from oracle.constants import (
+    CONTRACT_TYPES,
+    GENDERS,
+    MARITAL_STATUSES,
+    PAYMENT_STATUSES,
+    SERVICES,
+    SUBSCRIPTION_STATUSES,
+    TICKET_STATUSES,
+)
 from oracle.idioms import (
     ORIGIN,
     TODAY,
@@ -24,7 +33,6 @@ from oracle.idioms import (
     title,
     whole0,
 )
-from silverlode.plans.silver import customer, payment, subscription, support
 
 EXTRACTED = "_airbyte_extracted_at AS source_extracted_at"
 
@@ -33,9 +41,9 @@ SILVER["int_customer_clean"] = (
     ("crm_customers",),
     f"""
 SELECT trim(customer_id) AS customer_id, sha256(coalesce(msisdn, '')) AS msisdn_hash, CAST(age AS BIGINT) AS age,
-  {codes('gender', customer.GENDERS)} AS gender,
+  {codes('gender', GENDERS)} AS gender,
   coalesce(nullif({title('trim(city)')}, ''), 'Unknown') AS city, {category('region')} AS region,
-  nullif(upper(trim(postal_code)), '') AS postal_code, {codes('marital_status', customer.MARITAL_STATUSES)} AS marital_status,
+  nullif(upper(trim(postal_code)), '') AS postal_code, {codes('marital_status', MARITAL_STATUSES)} AS marital_status,
   age >= 65 AS senior_citizen, coalesce(senior_citizen = 1, false) AS senior_citizen_source,
   {category('customer_segment')} AS customer_segment, registration_date,
   coalesce(number_of_dependents > 0, false) AS has_dependents, coalesce(dependents = 1, false) AS has_dependents_source,
@@ -59,16 +67,16 @@ SELECT *, CAST(datediff('month', contract_start_date, coalesce(contract_end_date
   status = 'ACTIVE' AND coalesce(contract_end_date >= {TODAY}, true) AS is_active_subscription,
   status = 'CANCELLED' OR coalesce(contract_end_date < {TODAY}, false) AS churn_candidate_flag
 FROM (
-  SELECT trim(subscription_id) AS subscription_id, trim(customer_id) AS customer_id, {codes('status', subscription.STATUSES)} AS status,
+  SELECT trim(subscription_id) AS subscription_id, trim(customer_id) AS customer_id, {codes('status', SUBSCRIPTION_STATUSES)} AS status,
     {category('plan_name')} AS plan_name, {category('plan_tier')} AS plan_tier,
-    {codes('contract_type', subscription.CONTRACT_TYPES, category('contract_type'))} AS contract_type,
+    {codes('contract_type', CONTRACT_TYPES, category('contract_type'))} AS contract_type,
     contract_start_date,
     if(contract_end_date < contract_start_date, NULL, contract_end_date) AS contract_end_date,
     contract_end_date AS contract_end_date_source,
     if(plan_change_date < contract_start_date, NULL, plan_change_date) AS plan_change_date,
     plan_change_date AS plan_change_date_source,
     nullif(upper(trim(previous_plan)), '') AS previous_plan, {money0('base_monthly_price')} AS base_monthly_price,
-    {", ".join(f"coalesce({raw} = 1, false) AS {name}" for raw, name in subscription.SERVICES.items())},
+    {", ".join(f"coalesce({raw} = 1, false) AS {name}" for raw, name in SERVICES.items())},
     coalesce(contract_end_date >= contract_start_date, true) AS dq_valid_contract_dates,
     coalesce(plan_change_date >= contract_start_date, true) AS dq_valid_plan_change_date,
     plan_change_date IS NULL OR trim(previous_plan) <> '' AS dq_plan_change_has_previous_plan,
@@ -115,7 +123,7 @@ SILVER["int_payment_clean"] = (
     f"""
 WITH typed AS (
   SELECT trim(payment_id) AS payment_id, trim(invoice_id) AS invoice_id, trim(customer_id) AS customer_id, payment_date,
-    {category('payment_method')} AS payment_method, {codes('payment_status', payment.STATUSES)} AS payment_status,
+    {category('payment_method')} AS payment_method, {codes('payment_status', PAYMENT_STATUSES)} AS payment_status,
     {category('collection_action', 'NONE')} AS collection_action, {money0('amount_due')} AS amount_due,
     {money0('amount_paid')} AS amount_paid, {money0('outstanding_balance')} AS reported,
     {whole0('days_late')} AS days_late, {whole0('failed_attempts')} AS failed_attempts, {EXTRACTED}
@@ -203,7 +211,7 @@ SILVER["int_support_clean"] = (
     f"""
 WITH typed AS (
   SELECT trim(ticket_id) AS ticket_id, trim(customer_id) AS customer_id, TRY_CAST(created_at AS TIMESTAMP) AS created_timestamp,
-    TRY_CAST(resolved_at AS TIMESTAMP) AS resolved_timestamp_source, {codes('status', support.STATUSES)} AS status,
+    TRY_CAST(resolved_at AS TIMESTAMP) AS resolved_timestamp_source, {codes('status', TICKET_STATUSES)} AS status,
     {", ".join(f"{category(x)} AS {x}" for x in ('channel', 'category', 'priority', 'reason', 'agent_team'))},
     coalesce(lower(trim(reopened)) {_truth}, false) AS reopened,
     coalesce(lower(trim(first_contact_resolution)) {_truth}, false) AS first_contact_resolution,
@@ -461,7 +469,7 @@ SELECT {key('customer_id')} AS customer_key, {key('region')} AS region_key, cust
         f"""
 SELECT {key('subscription_id')} AS subscription_key, {key('customer_id')} AS customer_key, {key('plan_name', 'plan_tier')} AS plan_key,
   subscription_id, status, contract_type, contract_start_date, contract_end_date, plan_change_date, previous_plan, base_monthly_price,
-  {", ".join(subscription.SERVICES.values())}, source_raw_id, source_extracted_at, source_generation_id FROM int_subscription_clean""",
+  {", ".join(SERVICES.values())}, source_raw_id, source_extracted_at, source_generation_id FROM int_subscription_clean""",
     ),
     "dim_plan": (
         ("int_subscription_clean",),

@@ -68,12 +68,12 @@ select 'P'||cast(o_orderkey as string) as payment_id, case when o_orderkey%13=0
  timestamp '2024-01-31 00:00:00' as _airbyte_extracted_at, cast(1 as bigint) as _airbyte_generation_id
 from {orders}""",
     "service_usage": """
-select 'U'||cast(l_orderkey as string)||'-'||cast(l_linenumber as string) as usage_id, 'C'||cast(l_orderkey%1500 as string) as customer_id, cast(l_shipdate as date) + 8090 as usage_date, cast(l_quantity as int)-5 as sms_count,
+select 'U'||cast(l_orderkey as string)||'-'||cast(l_linenumber as string) as usage_id, 'C'||cast(o_custkey as string) as customer_id, cast(l_shipdate as date) + 8090 as usage_date, cast(l_quantity as int)-5 as sms_count,
  cast(cast(l_extendedprice as decimal(18,2))*0.01 as decimal(18,4)) as voice_minutes, cast(cast(l_tax as decimal(18,2))*100 as decimal(18,4)) as international_minutes, cast(cast(l_discount as decimal(18,2))*50-1 as decimal(18,4)) as data_upload_gb, cast(cast(l_quantity as decimal(18,2)) as decimal(18,4)) as data_download_gb,
  cast(cast(l_quantity as decimal(18,2))*0.6 as decimal(18,4)) as peak_usage_gb, cast(cast(l_quantity as decimal(18,2))*case when l_returnflag='N' then 0.4 else 0.1 end as decimal(18,4)) as offpeak_usage_gb, cast(cast(l_quantity as decimal(18,2))*0.6-3 as decimal(18,4)) as streaming_hours,
  cast(cast(l_quantity as decimal(18,2))*40 as decimal(18,4)) as avg_session_minutes, cast(l_quantity as int)%7 as total_session_count,
  timestamp '2024-01-31 00:00:00' - interval 1 day * cast(l_suppkey%30 as int) as _airbyte_extracted_at, l_partkey*1000000 + l_suppkey*1000 + cast(l_quantity as int) as _airbyte_generation_id
-from {lineitem}""",
+from {lineitem} join {orders} on l_orderkey=o_orderkey""",
     "network_quality": """
 select 'E'||cast(event_id as string) as event_id, ' C'||cast(user_id as string) as customer_id, 'R'||cast(user_id as string) as customer_ref, 'D'||cast(user_id%20 as string) as device_id,
  case when event_id%53=0 then 'N/A' when event_id%59=0 then '2031-01-01 00:00:00' else substr(cast(ts as string),1,19) end as timestamp, event_type, case when event_id%3=0 then '5g' else ' 4G' end as technology,

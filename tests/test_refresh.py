@@ -151,6 +151,19 @@ def test_streamed_files_equal_one_batch(spark, stored_raw, tmp_path):
     assert same(read_table(spark, table), want)
 
 
+@pytest.mark.parametrize("files", [1, 4, 50])
+def test_a_backlog_of_any_number_of_files_is_one_run(spark, stored_raw, tmp_path, files):
+    """Equal timestamps (payments) and mixed ones, dealt over files in any order."""
+    rows = read_raw(spark, "payments", stored_raw).drop("load")
+    shuffled = F.timestamp_seconds(F.lit(1_706_000_000) + F.abs(F.xxhash64("payment_id")) % 1000)
+    rows = rows.withColumn(EXTRACTED_AT, F.when(F.col("amount_due") > 100, F.col(EXTRACTED_AT)).otherwise(shuffled))
+    rows.repartition(files, "payment_id").write.parquet(str(tmp_path / "landing"))
+    table = fact_table(str(tmp_path), "fact_payment")
+    stream_fact(spark, "fact_payment", str(tmp_path / "landing"), table, str(tmp_path / "progress"), as_of=AS_OF).awaitTermination()
+    landed = spark.read.parquet(str(tmp_path / "landing"))
+    assert same(read_table(spark, table), Warehouse(spark, lambda _: landed, AS_OF)["fact_payment"])
+
+
 def test_stream_with_joined_tables(spark, stored_raw, tmp_path):
     table = fact_table(str(tmp_path), "fact_network_event")
     whole = Warehouse(spark, raw_until(spark, stored_raw, 2), AS_OF)
