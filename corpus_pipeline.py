@@ -31,14 +31,15 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     """
     ship_package(spark)
     groups = minhash.near_duplicates(docs, SHINGLE)
-    kept = stored(groups.filter("kept").select(F.col("doc_id").alias("_kept_id")))
-    repeated = kept.filter("_kept_id IS NOT NULL").groupBy("_kept_id").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
-    left = docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    if repeated.isEmpty():
-        return left
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.monotonically_increasing_id())
-    single = left.withColumn("_row", F.row_number().over(same)).filter("_row = 1 OR doc_id IS NULL")
-    return single.select(*docs.columns)
+    kept = stored(groups.filter("kept").select(F.col("doc_id").alias("kept_id")))
+    repeated = kept.filter("kept_id IS NOT NULL").groupBy("kept_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # All columns in one, so that no name of theirs meets those of the steps.
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    left = rows.join(kept.distinct(), F.col("row.doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    if not repeated.isEmpty():
+        same = Window.partitionBy("row.doc_id", F.xxhash64("row.text")).orderBy(F.monotonically_increasing_id())
+        left = left.withColumn("place", F.row_number().over(same)).filter("place = 1 OR row.doc_id IS NULL")
+    return left.select("row.*")
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -141,6 +141,9 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, similarity: tuple[int
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item, all columns kept."""
-    leaks = stored(leaked_passages(docs, benchmark).select(F.col("doc_id").alias("_leak_id"), F.col("text_key").alias("_leak_key")).distinct())
-    same = (F.xxhash64(F.col("text").cast("string")) == F.col("_leak_key")) & F.col("doc_id").eqNullSafe(F.col("_leak_id"))
-    return docs.join(leaks, same, "left_anti")
+    leaks = leaked_passages(docs, benchmark).select(F.col("doc_id").alias("leak_id"), F.col("text_key").alias("leak_key"))
+    leaks = stored(leaks.distinct())
+    # All columns in one, so that no name of theirs meets those of the leaks.
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    same = (F.xxhash64(F.col("row.text").cast("string")) == F.col("leak_key")) & F.col("row.doc_id").eqNullSafe(F.col("leak_id"))
+    return rows.join(leaks, same, "left_anti").select("row.*")
