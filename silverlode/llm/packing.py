@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import unicodedata
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator, Mapping
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,34 +21,98 @@ from silverlode.llm.common import shuffle_partitions, stored
 CAPACITY = 2048
 END_ID = 0
 # Words kept with their ids in a Python worker; the memory is emptied when full.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
+CACHED_PARTS = 800_000
+# Characters of text that a task splits into words at once.
+TEXT_AT_ONCE = 2_000_000
 # A plan has a few runs for each length at most; beyond this it is joined by a shuffle.
 BROADCAST_RUNS = 200_000
 
 
-class WordIds(dict):
-    """Token ids of a word as little-endian 32-bit numbers, filled from the tokenizer.
+class WordIds:
+    """Token ids of words as little-endian 32-bit numbers, remembered up to a bound.
 
-    For tokenizers that drop white space and never merge across it, the ids of
-    a text are those of its words in order.
+    For tokenizers that drop white space and never merge across it, the ids of a
+    text are those of its words in order. Words are split further by the pattern of
+    the tokenizer, and new parts are encoded together: the last id of each part is
+    marked as the end of a word in the vocabulary, so the ids fall apart by part.
+    Words for which lower case and composed form are not plain, or that hold the
+    text of a special token, go to the tokenizer one by one.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        ids = self._tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        packed = b"".join(i.to_bytes(4, "little") for i in ids)
-        self[word] = packed
-        return packed
-
-    def ids_of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))
+        self._words: dict[bytes, bytes] = {}
+        self._parts: dict[str, bytes] = {}
+        self._pattern = None
+        described = json.loads(self._tokenizer.to_str())
+        suffix = described["model"].get("end_of_word_suffix")
+        steps = (described.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        pattern = steps[0].get("pattern", {}).get("Regex")
+        kinds = [n["type"] for n in (described.get("normalizer") or {}).get("normalizers", [])]
+        if suffix and pattern and steps[0].get("invert") and kinds == ["NFC", "Replace", "Lowercase"]:
+            self._pattern = regex.compile(pattern)
+            vocabulary = self._tokenizer.get_vocab()
+            self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self._ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _split(self, word: str) -> list[str] | None:
+        if self._pattern is None or "<|" in word:
+            return None
+        lower = word.lower()
+        if not word.isascii() and (
+            len(lower) != len(word) or max(word) >= "\u2000" or "Σ" in word or not unicodedata.is_normalized("NFC", word)
+        ):
+            return None
+        return [lower] if lower.isalpha() else self._pattern.findall(lower)
+
+    def _learn(self, missing: set[bytes]) -> None:
+        if len(self._words) > CACHED_WORDS:
+            self._words.clear()
+        if len(self._parts) > CACHED_PARTS:
+            self._parts.clear()
+        split = {word: self._split(word.decode()) for word in missing}
+        new = list({part for parts in split.values() for part in parts or () if part not in self._parts})
+        if new:
+            ids = self._encode(" ".join(new))
+            ends = (np.flatnonzero(self._ends[ids]) + 1).tolist()
+            if len(ends) != len(new):
+                raise ValueError("the parts of words do not end where the tokenizer ends them")
+            packed, start = ids.tobytes(), 0
+            for part, end in zip(new, ends):
+                self._parts[part] = packed[4 * start : 4 * end]
+                start = end
+        for word, parts in split.items():
+            whole = self._encode(word.decode()).tobytes() if parts is None else b"".join(map(self._parts.__getitem__, parts))
+            self._words[word] = whole
+
+    def ids_of(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Packed ids of each text, a few megabytes of text at a time."""
+        at = 0
+        while at < len(texts):
+            chunk: list[tuple[list[bytes], list[bytes | None]]] = []
+            missing: set[bytes] = set()
+            size = 0
+            while at < len(texts) and size < TEXT_AT_ONCE:
+                words = (texts[at] or "").encode("utf-8", "replace").split()
+                found = list(map(self._words.get, words))
+                if None in found:
+                    missing.update(w for w, f in zip(words, found) if f is None)
+                chunk.append((words, found))
+                size += len(texts[at] or "")
+                at += 1
+            if missing:
+                # What is known so far may be forgotten meanwhile, but stays in the chunk.
+                self._learn(missing)
+            for words, found in chunk:
+                if None in found:
+                    found = [self._words[w] if f is None else f for w, f in zip(words, found)]
+                yield b"".join(found)
 
 
 _cached: dict[str, WordIds] = {}
@@ -80,8 +148,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep
         for batch in batches:
             # Pieces of document number `owner` of the batch.
             owner, piece, start, length, crc, kept = [], [], [], [], [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                ids = memory.ids_of(text or "") + end
+            for row, ids in enumerate(memory.ids_of(batch.column(1).to_pylist())):
+                ids += end
                 for number, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
                     owner.append(row)
