@@ -35,6 +35,7 @@ HEADLINES = (
     "mart_r5_crispdm_dataset",
     "order_item",
     "upsert",
+    "upsert_files",
 )
 
 
