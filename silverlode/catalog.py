@@ -21,6 +21,7 @@ from silverlode.plans.models import CALENDAR, MODELS, Warehouse
 from silverlode.plans.refresh import fact_table, load_changes
 from silverlode.plans.silver.usage import clean_usage
 from silverlode.plans.suite import CHECKS
+from silverlode.session import warn_unless_configured
 from silverlode.sources import derived
 from silverlode.sources.raw import COLUMNS, MAX_AGE, ORDER_TABLES, read_raw
 
@@ -186,6 +187,7 @@ def build(name: str, tables: Warehouse) -> DataFrame:
 
 
 def _run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    warn_unless_configured(spark)
     return comparable(build(name, warehouse(spark, sf_dir)))
 
 

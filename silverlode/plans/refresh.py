@@ -22,6 +22,7 @@ from silverlode.plans.models import (
     Warehouse,
 )
 from silverlode.plans.suite import CHECKS
+from silverlode.session import warn_unless_configured
 
 # Names of the load time in the stored tables.
 MART_LOADED_AT = "dbt_loaded_at"
@@ -125,6 +126,7 @@ def refresh(
     tables again for each of the tables built on them. Facts only merge what is
     new; the monthly snapshot has no watermark and is merged whole.
     """
+    warn_unless_configured(spark)
     tables = Warehouse(spark, raw, as_of)
     for name in SILVER:
         tables.store(name, write_and_read(tables[name], f"{root}/{name}"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -21,3 +23,10 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
     return builder
+
+
+def warn_unless_configured(spark: SparkSession) -> None:
+    """Say which settings are missing; without them a hot key of a join stays in one task."""
+    off = [name for name, value in SETTINGS.items() if spark.conf.get(name) != value]
+    if off:
+        warnings.warn(f"settings the tables are designed for are off: {', '.join(off)}", stacklevel=3)

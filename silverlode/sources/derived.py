@@ -65,7 +65,7 @@ select 'P'||cast(o_orderkey as string) as payment_id, case when o_orderkey%13=0
  case o_orderkey%3 when 0 then ' card' when 1 then 'CASH' end as payment_method, case o_orderkey%6 when 0 then 'paid' when 1 then 'declined' when 2 then 'PARTIAL' when 3 then 'processing' when 4 then 'Completed ' end as payment_status,
  cast(case when o_orderkey%101=0 then -1 else o_orderkey%200 end as decimal(18,2)) as amount_due, cast(o_orderkey%180 as decimal(18,2)) as amount_paid, cast(case when o_orderkey%5=0 then -3 else o_orderkey%40 end as decimal(18,2)) as outstanding_balance,
  cast(case when o_orderkey%8=0 then o_orderkey%45-5 end as int) as days_late, cast(o_orderkey%4-1 as int) as failed_attempts, case when o_orderkey%9=0 then 'sms' else '' end as collection_action,
- timestamp '2024-01-31 00:00:00' as _airbyte_extracted_at, cast(1 as bigint) as _airbyte_generation_id
+ timestamp '2024-01-31 00:00:00' - interval 1 day * cast(o_orderkey%30 as int) as _airbyte_extracted_at, cast(1 as bigint) as _airbyte_generation_id
 from {orders}""",
     "service_usage": """
 select 'U'||cast(l_orderkey as string)||'-'||cast(l_linenumber as string) as usage_id, 'C'||cast(o_custkey as string) as customer_id, cast(l_shipdate as date) + 8090 as usage_date, cast(l_quantity as int)-5 as sms_count,
