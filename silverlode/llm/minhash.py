@@ -19,6 +19,8 @@ ROWS = 5
 BANDS = 40
 SIMILARITY = (80, 100)
 CACHED_WORDS = 300_000
+# Shingles are counted in so many slots (a power of two) to put rare ones first.
+SLOT_BITS = 18
 # Elements that a task signs at once.
 CHUNK = 100_000
 CACHED_SETS = 64
@@ -165,6 +167,70 @@ def _verified(size: int, similarity: tuple[int, int]):
     return run
 
 
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _slot_counts(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                total += np.bincount(_slots(shingle_set(text.as_py(), size)), minlength=len(total))
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "n"])
+
+    return run
+
+
+def _prefixes(size: int, similarity: tuple[int, int], frequency: np.ndarray):
+    part, whole = similarity
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, shingles, places, sizes = [], [], [], []
+            for row, text in enumerate(batch.column(2)):
+                own = shingle_set(text.as_py(), size)
+                own = own[np.lexsort((own, frequency[_slots(own)]))]
+                first = own[: len(own) + part * len(own) // -whole + 1]
+                owner.append(np.full(len(first), row, np.int32))
+                shingles.append(first)
+                places.append(np.arange(len(first)))
+                sizes.append(np.full(len(first), len(own)))
+            if not owner:
+                continue
+            rows = pa.array(np.concatenate(owner))
+            numbers = [np.concatenate(shingles).view(np.int64), np.concatenate(places).astype(np.int64), np.concatenate(sizes).astype(np.int64)]
+            columns = [batch.column(0).take(rows), batch.column(1).take(rows), batch.column(3).take(rows), *map(pa.array, numbers)]
+            yield pa.RecordBatch.from_arrays(columns, names=["class", "root", "minor", "shingle", "place", "n"])
+
+    return run
+
+
+def _sharing_rare_shingles(apart: DataFrame, texts: DataFrame, size: int, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of classes of different groups that may be similar enough, one of them minor.
+
+    Shingles are put in one order, rare ones first. Similar sets share one of their
+    first ``n - part * n / whole + 1`` shingles, and from the first that they share
+    enough others must follow in both. Every similar pair passes; versions of one
+    text with many changes of their own do not meet. The order goes by counts in a
+    fixed number of slots, which are all that reaches the driver.
+    """
+    part, whole = similarity
+    rows = apart.join(texts, "class").select("class", "root", "text", "minor")
+    counted = rows.select("text").mapInArrow(_slot_counts(size), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    frequency = np.zeros(1 << SLOT_BITS, np.int64)
+    for row in counted.collect():  # 2 ** SLOT_BITS rows at most
+        frequency[row["slot"]] = row["n"]
+    schema = "class long, root long, minor boolean, shingle long, place long, n long"
+    first = stored(rows.mapInArrow(_prefixes(size, similarity, frequency), schema))
+    own = first.filter("minor").select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("class", "root", "place", "n")])
+    following = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b"))
+    possible = following * (part + whole) >= part * (F.col("n") + F.col("n_b"))
+    met = first.join(own, (first["shingle"] == own["shingle"]) & (F.col("root") != F.col("root_b")) & possible)
+    return met.select(F.least("class", "class_b").alias("a"), F.greatest("class", "class_b").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, size: int, similarity: tuple[int, int] = SIMILARITY, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -179,9 +245,9 @@ def near_duplicates(
 
     Equal sets are one class from the start, whatever the number of copies, so all
     further work is on different sets. In each band that classes share, all are first
-    compared with two of them; what these links leave apart in the band is then
-    compared with the others, so no pair is left out that could join two groups,
-    and pairs within a group are not made. Candidates are confirmed on full sets.
+    compared with two of them; classes that these links leave apart then meet those
+    with which they share rare enough shingles, so no pair is left out that could join
+    two groups, and pairs within a group are not made. Candidates are confirmed on full sets.
     """
     part, whole = similarity
     id_type = docs.schema["doc_id"].dataType
@@ -244,11 +310,9 @@ def near_duplicates(
     grouped = grouped.select("band", "class", "n", F.coalesce("root", "class").alias("root"))
     per_group = grouped.groupBy("band", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = per_group.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count(F.lit(1)).alias("groups"))
-    apart = stored(grouped.join(largest.filter("groups > 1"), "band").select("band", "class", "n", "root", "main"))
-    minor = apart.filter("root <> main").select("band", F.col("class").alias("c"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    rest = apart.join(minor, "band").filter(near_size & (F.col("root") != F.col("root_b")))
-    rest = rest.select(F.least("class", "c").alias("a"), F.greatest("class", "c").alias("b")).distinct()
-    rest = rest.join(pivots, ["a", "b"], "left_anti")
+    unsettled = stored(grouped.join(largest.filter("groups > 1"), "band").select("class", "root", (F.col("root") != F.col("main")).alias("minor")))
+    apart = stored(unsettled.groupBy("class", "root").agg(F.max("minor").alias("minor")))
+    rest = _sharing_rare_shingles(apart, texts, size, similarity)
     found = components(links.unionByName(verify(rest)))
 
     known = classes.select("set_key", "class", "smallest").join(found, F.col("class") == F.col("node"), "left")
