@@ -13,6 +13,8 @@ PATTERNS = (
     ("access", "AKIA[A-Z0-9]+", 0, 20),
     ("hex", "[0-9a-f]+", 0, 24),
 )
+# The same matches without the many short ones: greedy runs of a class that are long enough begin where plain runs begin.
+LONG_RUNS = {"access": "AKIA[A-Z0-9]{16,}", "hex": "[0-9a-f]{24,}"}
 KINDS = (*(p[0] for p in PATTERNS), "random")
 RANDOM = len(PATTERNS)
 
@@ -163,7 +165,10 @@ def scanned(docs: DataFrame, *keep: str) -> DataFrame:
     """The kept columns with ``_base`` (spans of the patterns) and ``_tested`` (other candidates with p, bits and stratum)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(*keep, text.alias("_text"))
-    base = [_spans(F.col("_text"), pattern, group, least, kind) for kind, (_, pattern, group, least) in enumerate(PATTERNS)]
+    base = [
+        _spans(F.col("_text"), LONG_RUNS.get(name, pattern), group, least, kind)
+        for kind, (name, pattern, group, least) in enumerate(PATTERNS)
+    ]
     rows = rows.select(
         "*", F.array_sort(F.concat(*base)).alias("_base"), _spans(F.col("_text"), CANDIDATE, 0, 20, RANDOM).alias("_runs")
     )
@@ -241,8 +246,10 @@ def secret_digests(docs: DataFrame) -> DataFrame:
 def without_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of a secret replaced by a mark; texts without secrets and all other columns stay."""
     names = docs.columns
+    # All columns in one, so that no name of theirs meets one of the steps.
+    rows = docs.select(F.struct(*[F.col(c) for c in names]).alias("_row"), "text")
     bounds = dismissed_below(scanned(docs).select(F.explode("_tested").alias("t")).select("t.stratum", "t.p"))
-    rows = scanned(docs, *names).withColumn("_spans", _all_spans(bounds))
+    rows = scanned(rows, "_row").withColumn("_spans", _all_spans(bounds))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, span: Column) -> Column:
@@ -255,5 +262,5 @@ def without_secrets(docs: DataFrame) -> DataFrame:
 
     walked = F.aggregate("_spans", start, step)
     rest = F.substr(F.col("_text"), walked["at"] + 1, F.length("_text"))
-    text = F.when(F.size("_spans") > 0, F.concat(walked["out"], rest)).otherwise(F.col("text"))
-    return rows.select(*[text.alias("text") if c == "text" else F.col(c) for c in names])
+    text = F.when(F.size("_spans") > 0, F.concat(walked["out"], rest)).otherwise(F.col("_row")["text"])
+    return rows.select(*[(text if c == "text" else F.col("_row")[c]).alias(c) for c in names])
