@@ -21,10 +21,13 @@ from silverlode.llm.minhash import WordHashes, mixed
 DISCOUNTED = 5
 SMOOTHING = 0.1
 # Words of documents that are kept and asked about together.
-BLOCK_TOKENS = 4_000_000
-# White space cannot be part of a word, so no word has these hashes on purpose.
-START = xxhash.xxh3_64_intdigest(b" start")
+BLOCK_TOKENS = 1_000_000
+# Parts of the model for each shuffle partition, so that a part is small next to a task's memory.
+PARTS_PER_PARTITION = 4
+# White space cannot be part of a word, so no word has this hash on purpose.
 END = xxhash.xxh3_64_intdigest(b" end")
+# Words are numbered from 0 on; this is the start of a document.
+START = np.uint64(1 << 63)
 
 _hashes = WordHashes()
 
@@ -45,6 +48,15 @@ def _from_deltas(data: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, so that high bytes that are all zero vanish."""
+    return _packed(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T))
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(_unpacked(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
 def _parts_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     """Part of each hash; a larger hash never has a smaller part."""
     return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
@@ -118,24 +130,24 @@ class Block:
         learnt = np.bincount(of_token[self.learnt], minlength=len(keys))
         return keys // width, keys % width, learnt, of_token
 
-    def requests(self, counts: np.ndarray, totals: dict, parts: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """For each part its pairs (numbers into pairs(), in the order of the hashes), and histories that it only sums up for.
+    def requests(self, counts: np.ndarray, ids: np.ndarray, totals: dict, parts: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """For each part its pairs (numbers into pairs(), in the order of word ids), and histories that it only sums up for.
 
         A history that owns more than 1 / parts of all words is spread over several
         parts by its second words; each of them is asked for its share of the sums.
         """
         first, second, _, _ = self.pairs_cached()
-        history = np.append(self.words, np.uint64(START))
+        history = np.append(ids, START)
         frequency = np.append(counts, totals["documents"])
         spread = 1 + frequency * parts // max(totals["tokens"], 1)
         home = _parts_of(mixed(history), parts)
-        part = (home[first] + (mixed(self.words[second] + np.uint64(1)) % spread[first].astype(np.uint64)).astype(np.int64)) % parts
+        part = (home[first] + (mixed(ids[second] + np.uint64(1)) % spread[first].astype(np.uint64)).astype(np.int64)) % parts
         used = np.unique(first)
         wide = used[spread[used] > 1]
         wide_histories = np.repeat(wide, spread[wide])
         step = np.arange(len(wide_histories)) - np.repeat(np.cumsum(spread[wide]) - spread[wide], spread[wide])
         wide_parts = (home[wide_histories] + step) % parts
-        order = np.lexsort((self.words[second], history[first], part))
+        order = np.lexsort((ids[second], history[first], part))
         bounds = np.searchsorted(part[order], np.arange(parts + 1))
         return [(p, order[bounds[p] : bounds[p + 1]], np.unique(wide_histories[wide_parts == p])) for p in range(parts)]
 
@@ -165,42 +177,61 @@ def _word_requests(parts: int):
     return run
 
 
-def _count_words(rows: pd.DataFrame) -> pd.DataFrame:
-    """Counts of words over all blocks, back to each block; one row (block -1) with the totals of the part."""
+def _count_words(parts: int):
+    return lambda rows: _counted_words(rows, parts)
+
+
+def _counted_words(rows: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """Counts and ids of words over all blocks, back to each block; one row (block -1) with the totals of the part."""
     words = [_from_deltas(w) for w in rows["words"]]
     counts = np.concatenate([_unpacked(c, np.int64) for c in rows["counts"]])
     distinct, place = np.unique(np.concatenate(words), return_inverse=True)
     total = np.zeros(len(distinct), np.int64)
     np.add.at(total, place, counts)
-    ends = np.cumsum([len(w) for w in words])
-    answers = [_packed(total[place[e - len(w) : e]]) for w, e in zip(words, ends)]
+    # No two words of the corpus have one id, whatever their part.
     part = int(rows["part"].iloc[0])
-    numbers = [*rows["block"], -1]
+    numbered = place.astype(np.uint64) * np.uint64(parts) + np.uint64(part)
+    ends = np.cumsum([len(w) for w in words])
+    answers, split = [], []
+    for own, end in zip(words, ends):
+        asked = slice(end - len(own), end)
+        counts_of_block = _packed(total[place[asked]])
+        answers.append(counts_of_block + _deltas(numbered[asked]))
+        split.append(len(counts_of_block))
     return pd.DataFrame(
-        {"block": numbers, "part": part, "kind": "words", "answer": [*answers, _packed(np.array([total.sum(), (total > 0).sum()]))]}
+        {
+            "block": [*rows["block"], -1],
+            "part": part,
+            "kind": "words",
+            "answer": [*answers, _packed(np.array([total.sum(), (total > 0).sum()]))],
+            "split": [*split, 0],
+        }
     )
 
 
-def _word_answers(answers: pd.DataFrame) -> np.ndarray:
+def _word_answers(answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and ids of the words of a block, in its own order."""
     own = answers[answers["kind"] == "words"].sort_values("part")
-    return np.concatenate([_unpacked(a, np.int64) for a in own["answer"]])
+    counts = [_unpacked(a[:split], np.int64) for a, split in zip(own["answer"], own["split"])]
+    ids = [_from_deltas(a[split:]) for a, split in zip(own["answer"], own["split"])]
+    return np.concatenate(counts), np.concatenate(ids)
 
 
 def _pair_requests(parts: int, totals: dict):
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = Block(blocks.iloc[0])
-        counts = _word_answers(answers)
+        counts, ids = _word_answers(answers)
         first, second, learnt, _ = block.pairs_cached()
-        history = np.append(block.words, np.uint64(START))
+        history = np.append(ids, START)
         rows = []
-        for part, pairs, wide in block.requests(counts, totals, parts):
+        for part, pairs, wide in block.requests(counts, ids, totals, parts):
             heads = history[first[pairs]]
             rows.append(
                 (
                     part,
                     block.number,
                     _deltas(heads),
-                    _packed(block.words[second[pairs]]),
+                    _planes(ids[second[pairs]]),
                     _packed(learnt[pairs].astype(np.int32)),
                     _packed(counts[second[pairs]].astype(np.int64)),
                     _packed(history[wide]),
@@ -240,7 +271,7 @@ def _count_pairs(totals: dict):
         wides = [_unpacked(w, np.uint64) for w in rows["wide"]]
         sizes = np.array([len(h) for h in heads])
         head = np.concatenate(heads)
-        tail = np.concatenate([_unpacked(t, np.uint64) for t in rows["tails"]])
+        tail = np.concatenate([_from_planes(t) for t in rows["tails"]])
         learnt = np.concatenate([_unpacked(c, np.int32) for c in rows["learnt"]]).astype(np.int64)
         single = (np.concatenate([_unpacked(c, np.int64) for c in rows["counts"]]) + SMOOTHING) / scale
         order = np.lexsort((tail, head))
@@ -304,14 +335,14 @@ def _scores(parts: int, totals: dict, factors: np.ndarray):
 
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = Block(blocks.iloc[0])
-        counts = _word_answers(answers)
+        counts, ids = _word_answers(answers)
         first, second, _, of_token = block.pairs_cached()
-        history = np.append(block.words, np.uint64(START))
+        history = np.append(ids, START)
         total = np.zeros(len(first), np.int64)
         sums = np.zeros((len(history), DISCOUNTED + 2))
         by_hash = np.argsort(history, kind="stable")
         own = answers[answers["kind"] == "pairs"].set_index("part")
-        for part, pairs, wide in block.requests(counts, totals, parts):
+        for part, pairs, wide in block.requests(counts, ids, totals, parts):
             answer, split = own.loc[part, "answer"], int(own.loc[part, "split"])
             total[pairs] = _unpacked(answer[:split], np.int32)
             asked = _asked_histories(history[first[pairs]], history[wide])
@@ -372,17 +403,17 @@ def score_documents(docs: DataFrame, parts: int | None = None) -> DataFrame:
     and sums in the order it asked.
     """
     spark = docs.sparkSession
-    parts = parts or shuffle_partitions(spark)
+    parts = parts or PARTS_PER_PARTITION * shuffle_partitions(spark)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"block long, doc_ids array<{id_type}>, trains array<boolean>, lengths binary, words binary, tokens binary"
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), in_training(F.col("doc_id")).alias("train"))
     name = f"katz_blocks_{uuid.uuid4().hex}"
-    rows.mapInArrow(_blocks, schema).write.bucketBy(parts, "block").saveAsTable(name)
+    rows.mapInArrow(_blocks, schema).write.bucketBy(shuffle_partitions(spark), "block").saveAsTable(name)
     try:
         blocks = spark.table(name)
-        answer = "block long, part int, kind string, answer binary"
+        answer = "block long, part int, kind string, answer binary, split int"
         asked = blocks.mapInPandas(_word_requests(parts), "part int, block long, words binary, counts binary")
-        words = stored(asked.groupBy("part").applyInPandas(_count_words, answer))
+        words = stored(asked.groupBy("part").applyInPandas(_count_words(parts), answer))
         tokens, distinct = _merged_totals(words, 2).tolist()
         documents = blocks.select(F.size(F.filter("trains", lambda t: t)).cast("long").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         totals = {"tokens": tokens, "distinct": distinct, "documents": documents}
@@ -390,10 +421,10 @@ def score_documents(docs: DataFrame, parts: int | None = None) -> DataFrame:
         requests = "part int, block long, heads binary, tails binary, learnt binary, counts binary, wide binary"
         own_words = words.filter("block >= 0")
         asked = blocks.groupBy("block").cogroup(own_words.groupBy("block")).applyInPandas(_pair_requests(parts, totals), requests)
-        pairs = stored(asked.groupBy("part").applyInPandas(_count_pairs(totals), answer + ", split int"))
+        pairs = stored(asked.groupBy("part").applyInPandas(_count_pairs(totals), answer))
         factors = discounts(_merged_totals(pairs, DISCOUNTED + 2))
 
-        answers = own_words.withColumn("split", F.lit(0)).unionByName(pairs.filter("block >= 0"))
+        answers = own_words.unionByName(pairs.filter("block >= 0"))
         result = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
         scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_scores(parts, totals, factors), result)
         return stored(scored)
