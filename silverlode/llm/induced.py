@@ -191,10 +191,13 @@ def suffix_order(text: np.ndarray, folder: str | None = None, base: int = 4_000_
         return _ordered(text, small, starts[ranked], symbols, scratch)
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """Length of the common prefix of each suffix in order with the one before it, up to ``most``."""
+def common_prefixes(text: np.ndarray, order: np.ndarray, most: int, among: np.ndarray | None = None) -> np.ndarray:
+    """Length of the common prefix of each suffix in order with the one before it, up to ``most``.
+
+    With ``among``, a mask of positions, only where both suffixes begin at such a position; 0 elsewhere.
+    """
     length = np.zeros(len(order), np.int64)
-    live = np.arange(1, len(order))
+    live = np.arange(1, len(order)) if among is None else np.flatnonzero(among[order[1:]] & among[order[:-1]]) + 1
     for depth in range(most):
         ahead = np.maximum(order[live], order[live - 1]) + depth < len(text)
         live = live[ahead]

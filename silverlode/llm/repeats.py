@@ -25,8 +25,11 @@ LENGTH = 200
 ANCHOR = 150
 REACH = LENGTH - ANCHOR
 # Bytes of documents in a block, and of those that a task hashes at once.
-BLOCK_BYTES = 24_000_000
-CHUNK_BYTES = 4_000_000
+BLOCK_BYTES = 12_000_000
+CHUNK_BYTES = 1_000_000
+
+# Parts of the model of anchors for each shuffle partition, so that a part is small next to a task's memory.
+PARTS_PER_PARTITION = 4
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -262,7 +265,12 @@ def _starts_of_repeats(anchor: np.ndarray, before: np.ndarray, after: np.ndarray
     with tempfile.TemporaryDirectory() as folder:
         order = suffix_order(text, folder)
     symbols = REACH + 1
-    prefix = common_prefixes(text, order, symbols)
+    # Strings of the full length begin so many symbols before the end of their context, at the anchor or before.
+    whole = np.zeros(len(text), bool)
+    for k in range(symbols):
+        fits = (before >= k) & (after >= REACH - k)
+        whole[begins[fits] + before[fits] - k] = True
+    prefix = common_prefixes(text, order, symbols, whole)
     shared = np.zeros(len(text), bool)
     both = np.flatnonzero(prefix >= symbols)
     shared[order[both]] = True
@@ -338,12 +346,12 @@ def remove_repeats(docs: DataFrame, parts: int | None = None, keep_texts: bool =
     Blocks of documents stay in a bucketed table, which is dropped at the end.
     """
     spark = docs.sparkSession
-    parts = parts or shuffle_partitions(spark)
+    parts = parts or PARTS_PER_PARTITION * shuffle_partitions(spark)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     name = f"repeat_blocks_{uuid.uuid4().hex}"
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     schema = f"block long, doc_ids array<{id_type}>, lengths binary, data binary"
-    rows.mapInArrow(_blocks, schema).write.bucketBy(parts, "block").saveAsTable(name)
+    rows.mapInArrow(_blocks, schema).write.bucketBy(shuffle_partitions(spark), "block").saveAsTable(name)
     try:
         blocks = spark.table(name)
         answer = "block long, part int, kind string, answer binary"
