@@ -17,6 +17,9 @@ from silverlode.llm.url_rules import url_parts
 # A subtree is a template if it stands on so many different pages of its host, and on this share of them.
 MIN_PAGES = 5
 MIN_SHARE = 0.01
+# Single paragraphs, items and rows may repeat as content: only long ones count, on a larger share of the pages.
+LONG_PLAIN = 100
+MIN_SHARE_PLAIN = 0.25
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -138,6 +141,11 @@ def _postorder(root: Node) -> list[Node]:
     return order
 
 
+def text_size(root: Node) -> int:
+    """Characters of the texts in an element, each without surrounding white space."""
+    return sum(len(c.strip()) for n in _postorder(root) for c in n.children if isinstance(c, str))
+
+
 def hash_subtrees(root: Node) -> None:
     """Digest of each subtree from its tag, attributes, texts without surrounding white space, and children."""
     for node in _postorder(root):
@@ -166,24 +174,36 @@ def articles(root: Node) -> list[Node]:
     return []
 
 
-def containers(root: Node) -> list[Node]:
-    """Subtrees that may be templates: boxes outside of the articles, not single paragraphs, headings or items."""
-    boxes, pending = [], [root]
+# Their repeated text may well be content; the page itself is no part of a page.
+PLAIN = HEADINGS | frozenset("p li dt dd td th tr caption pre blockquote figcaption summary".split())
+WHOLE = frozenset("html body head".split())
+
+
+def _may_be_template(node: Node) -> bool:
+    if node.tag in PLAIN:
+        return text_size(node) >= LONG_PLAIN
+    return node.tag in BLOCKS and node.tag not in WHOLE
+
+
+def containers(root: Node) -> list[tuple[Node, int]]:
+    """Subtrees that may be templates, each with the digest of what it is a part of: its article, or else the page.
+
+    These are boxes and long paragraphs or items, inside of articles too, but not the
+    articles themselves. One article under different menus counts once.
+    """
+    boxes: list[tuple[Node, int]] = []
+    pending = [(root, root.digest)]
     inner = set(map(id, articles(root)))
     while pending:
-        node = pending.pop()
+        node, whole = pending.pop()
         if id(node) in inner:
-            continue
-        if node.tag in BLOCKS and node.tag not in PLAIN:
-            boxes.append(node)
-        pending.extend(c for c in node.children if not isinstance(c, str))
+            whole = node.digest
+        elif _may_be_template(node):
+            boxes.append((node, whole))
+        pending.extend((c, whole) for c in node.children if not isinstance(c, str))
     return boxes
 
 
-# Their repeated text may well be content, and the page itself is no part of a page.
-PLAIN = HEADINGS | frozenset("p li dt dd td th tr caption pre blockquote figcaption summary html body head".split())
-
-
 def _attribute(node: Node, *names: str) -> str:
     if "=" not in node.attributes:
         return ""
@@ -238,8 +258,7 @@ def blocks(root: Node, templates: frozenset[int]) -> list[str]:
             if node.tag == "br":
                 parts.append(" ")
                 continue
-            # Templates are looked for outside of articles only.
-            if (not inside and id(node) not in inner and node.digest in templates and node.tag not in PLAIN) or _unwanted(node, inside):
+            if (node.digest in templates and id(node) not in inner) or _unwanted(node, inside):
                 if node.tag in BLOCKS:
                     flush()
                 continue
@@ -257,39 +276,40 @@ def blocks(root: Node, templates: frozenset[int]) -> list[str]:
 
 def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        owner, digests, pages = [], [], []
+        owner, digests, plain, pages = [], [], [], []
         for row, page in enumerate(batch.column(1).to_pylist()):
             root = parse(page or "")
             hash_subtrees(root)
-            found = {n.digest for n in containers(root)}
+            found = {(n.digest, n.tag in PLAIN, whole) for n, whole in containers(root)}
             owner += [row] * len(found)
-            digests += found
-            pages += [root.digest - 2**63] * len(found)
+            digests += [d - 2**63 for d, _, _ in found]
+            plain += [p for _, p, _ in found]
+            pages += [whole - 2**63 for _, _, whole in found]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(owner, pa.int32())), pa.array([d - 2**63 for d in digests], pa.int64()), pa.array(pages, pa.int64())],
-            names=["host", "subtree", "page"],
+            [batch.column(0).take(pa.array(owner, pa.int32())), pa.array(digests, pa.int64()), pa.array(plain, pa.bool_()), pa.array(pages, pa.int64())],
+            names=["host", "subtree", "plain", "page"],
         )
 
 
 def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """Hosts with the digests of the subtrees that recur across many of their different pages.
 
-    Pages that are equal throughout count once, so copies of a page do not make its
-    parts templates. Pages are counted by distinct digests in two steps, with partial
+    Pages that are equal throughout count once, and so do equal articles, so copies of
+    a page do not make its parts templates. Pages are counted by distinct digests in two steps, with partial
     sums before each shuffle; a host that owns a third of all pages is spread over
     its subtrees. A host has at most ``parts of a page / min_share`` templates.
     """
     host = url_parts(F.col("url"))[0]
     seen = pages.select(host.alias("host"), F.col("html").cast("string").alias("html")).mapInArrow(
-        _subtree_rows, "host string, subtree long, page long"
+        _subtree_rows, "host string, subtree long, plain boolean, page long"
     )
-    counts = seen.distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("pages"))
+    counts = seen.distinct().groupBy("host", "subtree", "plain").agg(F.count(F.lit(1)).alias("pages"))
     recurring = counts.filter(F.col("pages") >= min_pages)
     sizes = pages.select(host.alias("host"), F.xxhash64("html").alias("page")).distinct()
     sizes = sizes.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
     return (
         recurring.join(sizes, "host")
-        .filter(F.col("pages") >= F.col("all_pages") * min_share)
+        .filter(F.col("pages") >= F.col("all_pages") * F.when(F.col("plain"), max(MIN_SHARE_PLAIN, min_share)).otherwise(min_share))
         .groupBy("host")
         .agg(F.collect_set("subtree").alias("templates"))
     )
@@ -300,8 +320,8 @@ def main_text(pages: DataFrame, templates: DataFrame) -> DataFrame:
 
     A page without host, html or article text gives an empty text; repeated rows
     are extracted each; other columns are left out. Elements that name themselves
-    ``article`` or ``main`` bound the text where a page has them, and nothing in
-    them is taken for a template.
+    ``article`` or ``main`` bound the text where a page has them; templates go in
+    them as well.
     """
     host = url_parts(F.col("url"))[0]
     id_type, url_type = pages.schema["page_id"].dataType, pages.schema["url"].dataType

@@ -97,3 +97,19 @@ def test_templates_of_a_site_are_removed(spark):
     assert all(got[300 + i] == f"Every day the same line.\n{i}" for i in range(20))
     assert all(r.n_chars == len(r.text) for r in found)
     assert html_text.main_text(pages.filter("false"), html_text.site_templates(pages.filter("false"))).count() == 0
+
+
+def test_templates_inside_articles_are_removed(spark):
+    box = "<div class=x7><span>Read this with our partner</span></div>"
+    long = "<p>" + "The same long paragraph under every story of the house. " * 3 + "</p>"
+    copy = "<article><h1>Copy</h1><section>one body under many menus</section></article>"
+    rows = [(i, f"http://a.com/{i}", page(f"<article><p>story {i}</p>{box}<p>Short line.</p>{long}</article>")) for i in range(20)]
+    rows += [(100 + i, f"http://b.com/{i}", page(f"<main><p>story {i}</p>{box}</main>")) for i in range(20)]
+    rows += [(200 + i, f"http://c.com/{i}", page(copy, f"<nav>{i}</nav>")) for i in range(20)]
+    rows += [(300 + i, f"http://d.com/{i}", page(f"<article><p>{i}</p>{box if i < 4 else ''}{long if i < 6 else ''}</article>")) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(pages, html_text.site_templates(pages)).collect()}
+    assert all(got[i] == f"story {i}\nShort line." and got[100 + i] == f"story {i}" for i in range(20))
+    # One article on many pages, and what stands on few pages, is no template.
+    assert all(got[200 + i] == "Copy\none body under many menus" for i in range(20))
+    assert got[300].startswith("0\nRead this with our partner\nThe same long") and got[305].startswith("5\nThe same long")
