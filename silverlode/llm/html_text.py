@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -47,6 +47,9 @@ DROPPED = frozenset(
     "head script style noscript template nav footer aside form button input select textarea option iframe object embed canvas svg"
     " math audio video dialog menu title noembed noframes datalist search".split()
 )
+# Of these the form alone may wrap a whole page, as may boxes by their names.
+NO_TEXT = DROPPED - {"form"}
+MARKS = frozenset("article main h1".split())
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar tablist".split()
 )
@@ -67,13 +70,16 @@ SPACE = re.compile(r"\s+")
 class Node:
     """An element: its children are nodes and texts in page order."""
 
-    __slots__ = ("tag", "attributes", "children", "digest")
+    __slots__ = ("tag", "attributes", "children", "digest", "size", "wraps")
 
     def __init__(self, tag: str, attributes: str = "") -> None:
         self.tag = tag
         self.attributes = attributes
         self.children: list[Node | str] = []
         self.digest = 0
+        # Characters of the texts in it without surrounding white space, and whether the page's own text is in it.
+        self.size = 0
+        self.wraps = False
 
 
 def parse(page: str) -> Node:
@@ -106,6 +112,7 @@ def parse(page: str) -> Node:
             at = closing.end() if closing else end
         else:
             stack.append(node)
+    _measure(root)
     return root
 
 
@@ -141,9 +148,19 @@ def _postorder(root: Node) -> list[Node]:
     return order
 
 
-def text_size(root: Node) -> int:
-    """Characters of the texts in an element, each without surrounding white space."""
-    return sum(len(c.strip()) for n in _postorder(root) for c in n.children if isinstance(c, str))
+def _measure(root: Node) -> None:
+    """Sizes of all elements, and which wrap the page's text: more than half of it, and no article, main or h1 is elsewhere."""
+    order = _postorder(root)
+    marks: dict[int, int] = {}
+    for node in order:
+        inner = [c for c in node.children if not isinstance(c, str)]
+        if node.tag not in NO_TEXT:
+            node.size = sum(len(c.strip()) for c in node.children if isinstance(c, str)) + sum(c.size for c in inner)
+        # The h1 of a site's own header is not the page's.
+        own = node.tag in MARKS or "main" in _roles(node)
+        marks[id(node)] = 0 if node.tag in NO_TEXT or node.tag == "header" else own + sum(marks[id(c)] for c in inner)
+    for node in order:
+        node.wraps = 2 * node.size > root.size and marks[id(node)] == marks[id(root)]
 
 
 def hash_subtrees(root: Node) -> None:
@@ -160,18 +177,32 @@ def hash_subtrees(root: Node) -> None:
 
 
 def articles(root: Node) -> list[Node]:
-    """The outermost article elements, or else main elements; empty if the page names none."""
-    for wanted in (lambda n: n.tag == "article", lambda n: n.tag == "main" or "main" in _roles(n)):
-        found, pending = [], [root]
-        while pending:
-            node = pending.pop()
-            if wanted(node):
-                found.append(node)
-            elif not _unwanted(node, False):
-                pending.extend(c for c in reversed(node.children) if not isinstance(c, str))
-        if found:
-            return found
-    return []
+    """The outermost article elements or main elements; empty if the page names none.
+
+    Main elements are taken where they hold more text outside of articles than the
+    largest article has, as articles are mere cards there.
+    """
+    found = _outermost(root, lambda n: n.tag == "article")
+    mains = _outermost(root, lambda n: n.tag == "main" or "main" in _roles(n))
+    if not found:
+        return mains
+    loose, pending = 0, list(mains)
+    while pending:
+        node = pending.pop()
+        loose += sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        pending.extend(c for c in node.children if not isinstance(c, str) and c.tag != "article" and not _unwanted(c, True))
+    return mains if loose > max(n.size for n in found) else found
+
+
+def _outermost(root: Node, wanted: Callable[[Node], bool]) -> list[Node]:
+    found, pending = [], [root]
+    while pending:
+        node = pending.pop()
+        if wanted(node):
+            found.append(node)
+        elif not _unwanted(node, False):
+            pending.extend(c for c in reversed(node.children) if not isinstance(c, str))
+    return found
 
 
 # Their repeated text may well be content; the page itself is no part of a page.
@@ -181,7 +212,7 @@ WHOLE = frozenset("html body head".split())
 
 def _may_be_template(node: Node) -> bool:
     if node.tag in PLAIN:
-        return text_size(node) >= LONG_PLAIN
+        return node.size >= LONG_PLAIN
     return node.tag in BLOCKS and node.tag not in WHOLE
 
 
@@ -216,7 +247,7 @@ def _roles(node: Node) -> set[str]:
 
 def _unwanted(node: Node, inside: bool) -> bool:
     """True for what marks itself as something else than the article; ``inside`` an article, headers keep their headings."""
-    if node.tag in DROPPED or node.tag == "header" and not inside:
+    if node.tag in NO_TEXT or node.tag == "header" and not inside or node.tag == "form" and not node.wraps:
         return True
     if node.tag in ("html", "body", "#root", "article", "main") or not node.attributes:
         return False
@@ -225,9 +256,17 @@ def _unwanted(node: Node, inside: bool) -> bool:
         return True
     if node.tag in HEADINGS or node.tag == "p" and not _attribute(node, "class", "id", "role"):
         return False
+    if node.wraps:
+        return False
     if _roles(node) & DROPPED_ROLES:
         return True
-    return bool(DROPPED_NAMES.intersection(NAME_PART.findall(_attribute(node, "class", "id"))))
+    return any(_dropped_name(t) for t in _attribute(node, "class", "id").split())
+
+
+def _dropped_name(token: str) -> bool:
+    """True for a class or id that consists of listed words only: ``cookie-banner``, but not ``no-sidebar``."""
+    parts = NAME_PART.findall(token)
+    return bool(parts) and DROPPED_NAMES.issuperset(parts)
 
 
 def blocks(root: Node, templates: frozenset[int]) -> list[str]:

@@ -113,3 +113,21 @@ def test_templates_inside_articles_are_removed(spark):
     # One article on many pages, and what stands on few pages, is no template.
     assert all(got[200 + i] == "Copy\none body under many menus" for i in range(20))
     assert got[300].startswith("0\nRead this with our partner\nThe same long") and got[305].startswith("5\nThe same long")
+
+
+def test_names_and_cards_do_not_hide_the_text():
+    story = "<h1>Title</h1><p>The text of the page that everyone came for.</p>"
+    text = "Title\nThe text of the page that everyone came for."
+    cases = {
+        **{page(f"<div id=page class='{name}'>{story}</div>"): text for name in ("has-sidebar", "no-sidebar", "header-fixed", "sidebar", "modal open")},
+        page(f"<header><h1>Site</h1></header><div class=sidebar>{story}</div>"): text,
+        page(f"<form id=aspnetForm>{story}</form>"): text,
+        page(f"<article>{story}<section id='related-work'><p>before us</p></section><div class='social-history'>then</div></article>"): text + "\nbefore us\nthen",
+        page(f"<article>{story}<div class='cookie-banner box'>ok</div><div class='x share'>mail</div></article>"): text,
+        page(f"<article>{story}</article><div class=comments>" + "<p>I think so too, and more. </p>" * 20 + "</div>"): text,
+        page(f"<main>{story}</main>" + "<article>Next story</article>" * 9): text,
+        page(f"<main>{story}<article>Next</article></main>"): text + "\nNext",
+        page(f"<main><p>Today</p><article>{story}</article></main>"): text,
+    }
+    for source, wanted in cases.items():
+        assert "\n".join(html_text.blocks(html_text.parse(source), frozenset())) == wanted, source
