@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlode.llm.common import stored
+
 # Bounds of the fit: labelled rows of each class that it learns from, and features that it keeps.
 SAMPLE_PER_CLASS = 6000
 FEATURES = 2048
@@ -100,19 +102,26 @@ class Model:
 
 
 def fit(
-    rows: Iterable[tuple[list[int], list[int], int]], index: dict[str, int], ridge: float = RIDGE, swap_penalty: float = SWAP_PENALTY
+    rows: Iterable[tuple[list[int], list[int], int]],
+    index: dict[str, int],
+    ridge: float = RIDGE,
+    swap_penalty: float = SWAP_PENALTY,
+    totals: tuple[int, int] | None = None,
 ) -> Model:
     """Logistic regression on (features, features after the swap, label), with a penalty on score changes by the swap.
 
     The penalty is the mean square of the change of the log-odds, so a term gets
     the weight of its whole group, and what the labels say about one group cannot
     be held against it. Without both classes the model is the smoothed share of label 1.
+    ``totals`` are the numbers of rows with labels 0 and 1 that the given ones stand
+    for: each row counts for its part of them, so scores do not depend on how many were drawn.
     """
     rows = list(rows)
     labels = np.array([label for *_, label in rows], float)
     model = Model(index, np.zeros(len(index)))
     positive = labels.sum()
-    model.intercept = float(np.log((positive + 1) / (len(labels) - positive + 1)))
+    stands_for = np.array(totals if totals else (len(labels) - positive, positive), float)
+    model.intercept = float(np.log((stands_for[1] + 1) / (stands_for[0] + 1)))
     if not 0 < positive < len(labels) or not index:
         return model
 
@@ -123,6 +132,8 @@ def fit(
     (owner, column), (swap_owner, swap_column) = flat(0), flat(1)
     changed = np.array([set(a) != set(b) for a, b, _ in rows])
     size, width = len(rows), len(index)
+    # The mean weight of a row is 1.
+    weight = np.where(labels > 0, stands_for[1] / positive, stands_for[0] / (size - positive)) * (size / stands_for.sum())
 
     def times(w: np.ndarray, own: np.ndarray, col: np.ndarray) -> np.ndarray:
         return np.bincount(own, w[col], size)
@@ -134,7 +145,7 @@ def fit(
     first, second = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, STEPS + 1):
         own = times(weights, owner, column)
-        error = 1 / (1 + np.exp(-np.clip(own + intercept, -500, 500))) - labels
+        error = weight * (1 / (1 + np.exp(-np.clip(own + intercept, -500, 500))) - labels)
         gradient = back(error, owner, column) / size + ridge * weights
         if changed.any():
             change = np.where(changed, own - times(weights, swap_owner, swap_column), 0.0) / changed.sum()
@@ -153,13 +164,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """At most ``per_class`` labelled documents of each label, in the order of a hash of their id, without held-out ones."""
+def usable_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id``, ``label`` and the number ``n`` of rows of each labelled document, without held-out ones."""
     usable = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
+    rows = docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return usable.join(rows, "doc_id")
+
+
+def labelled_sample(docs: DataFrame, usable: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
+    """At most ``per_class`` labelled documents of each label, in the order of a hash of their id."""
 
     def of(label: int) -> DataFrame:
-        rows = usable.filter(F.col("label") == label)
+        rows = usable.filter(F.col("label") == label).select("doc_id", "label")
         return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
 
     chosen = of(0).unionByName(of(1))  # 2 * per_class rows at most
@@ -189,8 +206,13 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, width: int = FEATURES) -> Model:
-    """Fit on a bounded sample of the labelled documents; the tasks count and choose features, the driver gets their numbers."""
-    sample = labelled_sample(docs, labels, per_class)
+    """Fit on a bounded sample of the labelled documents, weighted back to the share of each label among all of them.
+
+    The tasks count and choose features, the driver gets their numbers.
+    """
+    usable = stored(usable_labels(docs, labels))
+    of_label = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    sample = labelled_sample(docs, usable, per_class)
     counts = sample.mapInArrow(_counts, "feature string, n long, n_toxic long")
     counts = counts.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")).filter(F.col("n") >= MIN_DOCUMENTS)
     sizes = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("n_toxic")).first()
@@ -215,7 +237,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
             yield pa.RecordBatch.from_arrays([pa.array(plain, kind), pa.array(swapped, kind), batch.column(1)], names=["plain", "swapped", "label"])
 
     rows = sample.mapInArrow(numbers, "plain array<int>, swapped array<int>, label int").collect()
-    return fit(sorted((r["plain"], r["swapped"], r["label"]) for r in rows), index)
+    return fit(sorted((r["plain"], r["swapped"], r["label"]) for r in rows), index, totals=(of_label.get(0, 0), of_label.get(1, 0)))
 
 
 def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -123,6 +123,25 @@ def test_swapped_identity_terms_do_not_change_scores(spark):
     assert nothing.scorer()("anything") == 0.5 and toxicity.score_documents(docs.filter("false"), nothing).count() == 0
 
 
+def test_scores_do_not_depend_on_the_bound_of_the_sample(spark):
+    """One label in ten is toxic; the bound cuts clean rows only."""
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(2000):
+        toxic = rng.random() < 0.1
+        filler = " ".join(rng.choices(["we", "met", "many", "today", "town", "news", "and", "then"], k=8))
+        insult = rng.random() < (0.6 if toxic else 0.05)
+        rows.append((i, f"{filler} {'vermin' if insult else 'people'}"))
+        labels.append((i, int(toxic)))
+    docs, marks = table(spark, rows), spark.createDataFrame([*labels, *((i, 1) for i in range(5000, 6000))], "doc_id long, toxic int")
+    whole, bounded = toxicity.train(docs, marks).scorer(), toxicity.train(docs, marks, per_class=130).scorer()
+    share = sum(y for _, y in labels) / len(labels)
+    for score in (whole, bounded):
+        assert abs(sum(score(t) for _, t in rows) / len(rows) - share) < 0.03
+    assert abs(bounded("nothing known") - whole("nothing known")) < 0.08
+    assert abs(bounded("vermin") - whole("vermin")) < 0.15
+
+
 def test_neighbours_with_copies_ties_and_unusable_vectors(spark):
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(1500, 16)) * rng.uniform(0.5, 2, (1500, 1))
