@@ -73,9 +73,9 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, similarity: tuple[int
 
     A window has as many words as the item (or is the whole text, if shorter) and
     matches where the weighted similarity of their shingles, with the number of
-    occurrences as weight, reaches ``part / whole``. Windows stand where a shingle
-    of the text, laid on the same shingle of an item, puts them: a window without
-    any shared shingle cannot match. Their fingerprints are looked up by blocks,
+    occurrences as weight, reaches ``part / whole``. Windows stand at all starts
+    where they hold as many shingles of one item as a match needs, in any order;
+    no other window can match. Their fingerprints are looked up by blocks,
     which finds every item within the radius; a similarity of 0.8 lies beyond it
     with a probability of about 1e-5.
 
@@ -84,7 +84,7 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, similarity: tuple[int
     """
     part, whole = similarity
     items = benchmark_items(benchmark)
-    places = items.select("n", "width", F.posexplode("hashes").alias("at", "hash")).distinct()
+    places = items.select("n", "width", F.explode("hashes").alias("hash"), "item_id").distinct()
     known = places.count()
     widths = [r["width"] for r in items.select("width").distinct().collect()]  # SHINGLE numbers at most
 
@@ -97,9 +97,29 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, similarity: tuple[int
         )
         of_width = places.filter(F.col("width") == width)
         found = spots.join(F.broadcast(of_width) if known <= BROADCAST_SHINGLES else of_width, "hash")
-        last = F.greatest(F.col("n_words") - F.col("n"), F.lit(0))
-        start = F.least(F.greatest(F.col("spot") - F.col("at"), F.lit(0)), last)
-        return found.select("doc_id", "text_key", "n", "width", start.alias("start")).distinct()
+        found = found.groupBy("doc_id", "text_key", "item_id", "n", "width", "n_words").agg(F.array_sort(F.collect_set("spot")).alias("spots"))
+        # Shingles of the item and of a window, and how many they must share.
+        size = F.least("n", "n_words") - width + 1
+        found = found.withColumn("size", size).withColumn(
+            "need", F.ceil((F.col("n") - width + 1 + F.col("size")) * part / F.lit(whole + part)).cast("int")
+        )
+        return (
+            found.filter(F.size("spots") >= F.col("need"))
+            .select("doc_id", "text_key", "n", "width", F.explode(starts()).alias("start"))
+            .distinct()
+        )
+
+    def starts() -> Column:
+        """Starts of the windows that hold ``need`` of the ``spots``; each range has those whose first spot is the same."""
+
+        def of_first(i: Column) -> Column:
+            first, enough = F.get("spots", i), F.get("spots", i + F.col("need") - 1)
+            before = F.coalesce(F.get("spots", i - 1), F.lit(-1))
+            low = F.greatest(enough - F.col("size") + 1, before + 1)
+            high = F.least(first, F.greatest(F.col("n_words") - F.col("n"), F.lit(0)))
+            return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size("spots") - F.col("need")), of_first))
 
     none = docs.sparkSession.createDataFrame([], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, n int, width int, start int")
     anchors = reduce(DataFrame.unionByName, [anchored(w) for w in widths], none)

@@ -160,6 +160,26 @@ def test_leaks_equal_all_windows_against_all_items(spark):
     assert decontaminate.leaked_passages(table.filter("false"), bench).count() == 0
 
 
+def test_leaks_with_moved_parts_equal_all_windows(spark):
+    rng = random.Random(6)
+    some = lambda n: ["".join(rng.choices("abcdefg", k=4)) for _ in range(n)]
+    items = [(i, " ".join(some(n))) for i, n in enumerate((100, 100, 60, 80))]
+    docs = []
+    for k in range(24):
+        words = items[k % 4][1].split()
+        cut = len(words) * rng.choice((2, 3, 4)) // 6
+        moved = words[cut:] + words[:cut]
+        if k >= 12:
+            moved[rng.randrange(len(moved))] = some(1)[0]
+        docs.append((k, " ".join(some(rng.choice((0, 120))) + moved + some(rng.choice((0, 120))))))
+    table = spark.createDataFrame(docs, DOCS)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = no_python(decontaminate.leaked_passages(table, bench)).collect()
+    want = plain_leaks(docs, items)
+    assert len(want) > 12
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+
+
 @pytest.mark.parametrize("distance", range(0, decontaminate.RADIUS + 1, 4))
 def test_blocks_meet_within_the_radius(distance):
     rng = random.Random(distance)
