@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import decontaminate, hnsw, html_text, katz, minhash, packing, repeats, secrets, toxicity, url_rules
+from silverlode.llm import chat, decontaminate, hnsw, html_text, katz, minhash, packing, repeats, resample, secrets, toxicity, url_rules, whitening
 from silverlode.llm.common import ship_package, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,12 @@ URL_RULES = [
     ("org", "/fr/", "allow"),
 ]
 
+# Fixed value of the contract: a conversation that is formatted besides those of the table.
+ADDED_CONVERSATION = """
+SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
+FROM VALUES (0L, 'user'), (1L, 'assistant') AS said (turn, role)
+"""
+
 
 def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
@@ -67,6 +73,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding").withColumnRenamed("key", "vec_id")
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = spark.sql(ADDED_CONVERSATION)
+    return chat.digests(chat.examples(table(spark, sf_dir, "conversations").select(said.columns).unionByName(said)))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _query(run: Query) -> Query:
     @functools.wraps(run)
     def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,5 +108,8 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_html_extraction,
         op10_best_fit_packing,
+        op11_embedding_whitening,
+        op12_chat_formatting,
+        op13_importance_resampling,
     )
 }
