@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from itertools import chain
@@ -42,8 +43,9 @@ DRAWN_OF_100 = 5
 SEED = 42
 # A line is heavy beyond this share of all occurrences of lines.
 HEAVY_SHARE = 10_000
-# Bytes of different lines that a task holds before it passes them on.
-HELD_BYTES = 16_000_000
+# Bytes of different lines that a task holds before it passes them on, and rows it turns into Python values at a time.
+HELD_BYTES = 8_000_000
+ROWS_AT_A_TIME = 200
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _EMPTY = np.zeros(0, np.int64)
 
@@ -89,6 +91,19 @@ def n_features(words: int) -> int:
     return sum(max(words - n, 0) for n in range(LONGEST))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_A_TIME):
+            yield batch.slice(at, ROWS_AT_A_TIME)
+
+
+def _lists(rows: list[list[int]]) -> pa.ListArray:
+    """A column of lists of small numbers."""
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    flat = np.fromiter(chain.from_iterable(rows), np.int32, offsets[-1])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
 def _lowered(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("binary").alias("text"))
 
@@ -97,26 +112,20 @@ def segmented(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``row, doc_id, n_words, crossing, lines``: buckets across lines, and the key of each line with its repeats."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words, crossing, lines = [], [], []
+        for batch in _slices(batches):
+            words, crossing, keys, times, ends = [], [], [], [], [0]
             for text in batch.column(1):
                 found = _lines(text.as_py())
                 words.append(sum(map(len, found)))
                 crossing.append(_crossing(found, buckets))
-                times: dict[bytes, int] = {}
-                for line in found:
-                    key = _key(b" ".join(line))
-                    times[key] = times.get(key, 0) + 1
-                lines.append([{"line": k, "times": n} for k, n in times.items()])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(words, pa.int64()),
-                    pa.array(crossing, pa.list_(pa.int32())),
-                    pa.array(lines, pa.list_(pa.struct([("line", pa.binary()), ("times", pa.int32())]))),
-                ],
-                names=["doc_id", "n_words", "crossing", "lines"],
-            )
+                own = Counter(_key(b" ".join(line)) for line in found)
+                keys += own
+                times += own.values()
+                ends.append(len(keys))
+            each = pa.StructArray.from_arrays([pa.array(keys, pa.binary()), pa.array(times, pa.int32())], ["line", "times"])
+            lines = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each)
+            columns = [batch.column(0), pa.array(words, pa.int64()), _lists(crossing), lines]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "crossing", "lines"])
 
     schema = "doc_id long, n_words long, crossing array<int>, lines array<struct<line: binary, times: int>>"
     rows = _lowered(docs, "doc_id").mapInArrow(cut, schema)
@@ -135,7 +144,7 @@ def distinct_lines(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
             arrays = [pa.array([_key(t) for t in texts], pa.binary()), pa.array(texts, pa.binary()), pa.array(held.values(), pa.int64())]
             return pa.RecordBatch.from_arrays(arrays, names=["line", "words", "n"])
 
-        for batch in batches:
+        for batch in _slices(batches):
             for text in batch.column(0):
                 for line in _lines(text.as_py()):
                     joined = b" ".join(line)
@@ -153,7 +162,7 @@ def distinct_lines(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by line, so equal ones follow each other, also from batch to batch."""
         last, total, features = None, 0, []
-        for batch in batches:
+        for batch in _slices(batches):
             lines, times, buckets_of = [], [], []
             keys, texts, numbers = batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()
             for i, key in enumerate(keys):
@@ -171,7 +180,7 @@ def distinct_lines(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
             yield made([last], [total], [features])
 
     def made(lines: list[bytes], times: list[int], features: list[list[int]]) -> pa.RecordBatch:
-        arrays = [pa.array(lines, pa.binary()), pa.array(times, pa.int64()), pa.array(features, pa.list_(pa.int32()))]
+        arrays = [pa.array(lines, pa.binary()), pa.array(times, pa.int64()), _lists(features)]
         return pa.RecordBatch.from_arrays(arrays, names=["line", "occurrences", "features"])
 
     once = _lowered(docs).mapInArrow(gather, "line binary, words binary, n long")
