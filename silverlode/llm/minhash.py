@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,8 @@ SLOT_BITS = 18
 # Elements that a task signs at once.
 CHUNK = 100_000
 CACHED_SETS = 64
+# Members that one text of a hub is compared with at most, on average.
+SHARE_OF_HUB = 256
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -142,27 +145,45 @@ def _sketches(size: int, bands: int, rows: int):
     return run
 
 
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts move between tasks several times, so they are packed once."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        packed = [pack(text.as_py().encode()) for text in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["class", "text"])
+
+
+def _set_of(packed: pa.Scalar, size: int) -> np.ndarray:
+    return shingle_set(zstandard.decompress(packed.as_py()).decode(), size)
+
+
 def _verified(size: int, similarity: tuple[int, int]):
-    """Keep (a, b) of rows (a, text of a, b, text of b) that are similar enough on their full sets."""
+    """Similar enough pairs (a, b), on full sets, of rows (hub, share, class, is_member, text).
+
+    The hub of a share comes first and its members follow; both may be repeated.
+    """
     part, whole = similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
-
-        def of(key: int, text: pa.Scalar) -> np.ndarray:
-            if key not in known:
-                if len(known) >= CACHED_SETS:
-                    known.pop(next(iter(known)))
-                known[key] = shingle_set(text.as_py(), size)
-            return known[key]
-
+        hub, hub_set = None, None
         for batch in batches:
-            keep = []
-            for a, text_a, b, text_b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3)):
-                x, y = of(a, text_a), of(b, text_b)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(whole * shared >= part * (len(x) + len(y) - shared))
-            yield batch.select([0, 2]).filter(pa.array(keep, pa.bool_()))
+            smaller, larger = [], []
+            hubs, classes, members = (batch.column(i).to_pylist() for i in (0, 2, 3))
+            for i, (own_hub, own, is_member) in enumerate(zip(hubs, classes, members)):
+                if own not in known:
+                    if len(known) >= CACHED_SETS:
+                        known.pop(next(iter(known)))
+                    known[own] = _set_of(batch.column(4)[i], size)
+                if not is_member:
+                    hub, hub_set = own, known[own]
+                    continue
+                assert own_hub == hub
+                shared = len(np.intersect1d(hub_set, known[own], assume_unique=True))
+                if whole * shared >= part * (len(hub_set) + len(known[own]) - shared):
+                    smaller.append(min(hub, own))
+                    larger.append(max(hub, own))
+            yield pa.RecordBatch.from_arrays([pa.array(smaller, pa.int64()), pa.array(larger, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -176,7 +197,7 @@ def _slot_counts(size: int):
         total = np.zeros(1 << SLOT_BITS, np.int64)
         for batch in batches:
             for text in batch.column(0):
-                total += np.bincount(_slots(shingle_set(text.as_py(), size)), minlength=len(total))
+                total += np.bincount(_slots(_set_of(text, size)), minlength=len(total))
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "n"])
 
@@ -190,7 +211,7 @@ def _prefixes(size: int, similarity: tuple[int, int], frequency: np.ndarray):
         for batch in batches:
             owner, shingles, places, sizes = [], [], [], []
             for row, text in enumerate(batch.column(2)):
-                own = shingle_set(text.as_py(), size)
+                own = _set_of(text, size)
                 own = own[np.lexsort((own, frequency[_slots(own)]))]
                 first = own[: len(own) + part * len(own) // -whole + 1]
                 owner.append(np.full(len(first), row, np.int32))
@@ -292,14 +313,25 @@ def near_duplicates(
         wanted.select("class", F.col("sample.doc_id").alias("sample_id"), F.col("sample.text_key").alias("sample_key")),
         (F.col("text_key") == F.col("sample_key")) & F.col("doc_id").eqNullSafe(F.col("sample_id")),
     )
-    texts = stored(texts.select("class", "text"))
+    texts = stored(texts.select("class", "text").mapInArrow(_compressed, "class long, text binary"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        left = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
-        right = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
-        full = pairs.join(left, "a").join(right, "b").select("a", "text_a", "b", "text_b")
+        """Of each pair the class with more pairs is the hub; its text goes once to each share of its members."""
+        pairs = stored(pairs)
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("pairs"))
+        for end in ("a", "b"):
+            pairs = pairs.join(ends.select(F.col("class").alias(end), F.col("pairs").alias(f"pairs_{end}")), end)
+        more = F.col("pairs_a") >= F.col("pairs_b")
+        share = F.pmod(F.xxhash64("member"), F.ceil(F.greatest("pairs_a", "pairs_b") / SHARE_OF_HUB)).cast("int").alias("share")
+        asked = pairs.withColumn("member", F.when(more, F.col("b")).otherwise(F.col("a")))
+        asked = stored(asked.select(F.when(more, F.col("a")).otherwise(F.col("b")).alias("hub"), share, "member"))
+        rows = asked.select("hub", "share", F.col("member").alias("class"), F.lit(True).alias("is_member")).unionByName(
+            asked.select("hub", "share", F.col("hub").alias("class"), F.lit(False).alias("is_member")).distinct()
+        )
+        full = rows.join(texts, "class").select("hub", "share", "class", "is_member", "text")
+        shares = full.repartition("hub", "share").sortWithinPartitions("hub", "share", "is_member")
         # A repeated row of the input gives its pairs once more, which changes no group.
-        return stored(full.mapInArrow(_verified(size, similarity), "a long, b long"))
+        return stored(shares.mapInArrow(_verified(size, similarity), "a long, b long"))
 
     sized = pivots.join(classes.select(F.col("class").alias("a"), "n"), "a").join(sizes, "b").filter(near_size)
     links = verify(sized.select("a", "b"))
