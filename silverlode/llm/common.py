@@ -24,11 +24,19 @@ def stored(df: DataFrame) -> DataFrame:
     return write_and_read(df, scratch_path(spark, beside))
 
 
+# Rows that Spark hands to a Python worker at a time: with some kilobytes of text each, a few megabytes.
+ROWS_PER_BATCH = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once per application; Spark's own file server carries the archive."""
+    """Give the executors this package, once per application; Spark's own file server carries the archive.
+
+    Batches of the session get a size that suits texts; smaller ones that are set stay.
+    """
+    if not 0 < int(spark.conf.get(_BATCH)) <= ROWS_PER_BATCH:
+        spark.conf.set(_BATCH, ROWS_PER_BATCH)
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return
