@@ -12,6 +12,8 @@ from silverlode.functions.keys import row_fingerprint
 EXTRACTED_AT = "_airbyte_extracted_at"
 GENERATION = "_airbyte_generation_id"
 RANK = "__rank"
+# A column that marks rows of which each is the newest version of its record already.
+NEWEST = "__newest"
 
 
 def latest_per_key(
@@ -30,10 +32,12 @@ def latest_per_key(
     return df.select("*", rank.alias(RANK)).filter(F.col(RANK) == 1).drop(RANK)
 
 
+def newest_first() -> list[Column]:
+    return [F.col(EXTRACTED_AT).desc_nulls_first(), F.col(GENERATION).desc_nulls_first()]
+
+
 def latest_version(raw: DataFrame, *ids: str) -> DataFrame:
     """Newest extracted version of each record; ids that differ in padding are one."""
-    return latest_per_key(
-        raw,
-        [F.trim(F.col(i)) for i in ids],
-        [F.col(EXTRACTED_AT).desc_nulls_first(), F.col(GENERATION).desc_nulls_first()],
-    )
+    if NEWEST in raw.columns:
+        return raw.drop(NEWEST)
+    return latest_per_key(raw, [F.trim(F.col(i)) for i in ids], newest_first())

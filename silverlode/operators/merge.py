@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.operators.incremental import WATERMARK, high_water_mark
-from silverlode.operators.storage import child_names, delete_path, path_exists, scratch_path, write_and_read
+from silverlode.operators.storage import (
+    child_names,
+    delete_path,
+    folder_bytes,
+    path_exists,
+    read_note,
+    scratch_path,
+    write_and_read,
+    write_note,
+)
 
 BUCKET = "part_bucket"
 MONTH = "part_month"
 NO_MONTH = 0
+# How large a part (a bucket of a month) may become at the first load, as rows are stored.
+PART_BYTES = 256 * 1024 * 1024
+# Keys that a search hands to the readers as constants; more are searched for by a join.
+PUSHED_KEYS = 10_000
+# Share of foreign keys for which a row group is opened in vain.
+BLOOM_ERRORS = 0.00001
 
 
 class DuplicateKeys(ValueError):
@@ -29,8 +44,12 @@ class MergeTable:
     the key contains that date (``key_fixes_month``), a row cannot change its
     month and the rest of its bucket need not be searched for it. With
     ``sync_columns`` the table takes over the columns of each batch; otherwise
-    its own columns stay. The number of ``buckets`` is fixed for the life of a
-    table; it splits months that a single task could not rewrite.
+    its own columns stay. ``buckets`` split months that a single task could not
+    rewrite; where their number is not given, the first load chooses it by its size, and it stays
+    for the life of the table.
+
+    Files are sorted by key and carry a Bloom filter of it, so a search for some keys opens only the row
+    groups that may hold them. ``also_searched`` names further columns that get a filter.
     """
 
     path: str
@@ -38,11 +57,12 @@ class MergeTable:
     date: str
     key_fixes_month: bool = False
     sync_columns: bool = False
-    buckets: int = 4
+    buckets: int | None = None
+    also_searched: tuple[str, ...] = ()
 
     @property
     def state(self) -> str:
-        """One row beside the table: its newest timestamp and its columns."""
+        """Notes beside the table: its columns, its newest timestamp, and its number of buckets."""
         return f"{self.path}.state"
 
 
@@ -69,8 +89,8 @@ def month_of(df: DataFrame, date: str) -> Column:
     return F.coalesce(month.cast("int"), F.lit(NO_MONTH))
 
 
-def bucket_of(table: MergeTable) -> Column:
-    return F.pmod(F.xxhash64(F.col(table.key)), F.lit(table.buckets)).cast("int")
+def bucket_of(table: MergeTable, buckets: int | None = None) -> Column:
+    return F.pmod(F.xxhash64(F.col(table.key)), F.lit(buckets or table.buckets or 1)).cast("int")
 
 
 def table_exists(spark: SparkSession, table: MergeTable) -> bool:
@@ -78,27 +98,30 @@ def table_exists(spark: SparkSession, table: MergeTable) -> bool:
     return path_exists(spark, table.path) and any(n.startswith(f"{BUCKET}=") for n in child_names(spark, table.path))
 
 
-def _state(spark: SparkSession, table: MergeTable) -> tuple[T.StructType, int | None] | None:
-    """Columns and newest timestamp as of the last load that ended; None if that is not known."""
-    if not path_exists(spark, table.state) or not any(n.endswith(".parquet") for n in child_names(spark, table.state)):
-        return None
-    row = spark.read.schema("columns string, mark long").parquet(table.state).first()
-    return (T.StructType.fromJson(json.loads(row["columns"])), row["mark"]) if row else None
+class State(NamedTuple):
+    columns: T.StructType
+    mark: int | None
+    buckets: int
+
+
+def _state(spark: SparkSession, table: MergeTable) -> State | None:
+    """What the last load noted; None for no table."""
+    note = read_note(spark, table.state)
+    return State(T.StructType.fromJson(note["columns"]), note["mark"], note["buckets"]) if note else None
 
 
-def _note_state(spark: SparkSession, table: MergeTable, columns: T.StructType, mark: int | None) -> None:
-    note = spark.createDataFrame([(columns.json(), mark)], "columns string, mark long")
-    note.coalesce(1).write.mode("overwrite").parquet(table.state)
+def _note_state(spark: SparkSession, table: MergeTable, state: State) -> None:
+    write_note(spark, table.state, {"columns": state.columns.jsonValue(), "mark": state.mark, "buckets": state.buckets})
 
 
 def _stored_rows(spark: SparkSession, table: MergeTable) -> DataFrame:
     """All columns and the two that the table is split by."""
     known = _state(spark, table)
     if known is None:
-        # A load died before it could note the columns; the files tell them.
+        # The note is lost; the files tell the columns.
         return spark.read.option("mergeSchema", True).parquet(table.path)
     split = [T.StructField(BUCKET, T.IntegerType()), T.StructField(MONTH, T.IntegerType())]
-    return spark.read.schema(T.StructType([*known[0].fields, *split])).parquet(table.path)
+    return spark.read.schema(T.StructType([*known.columns.fields, *split])).parquet(table.path)
 
 
 def read_table(spark: SparkSession, table: MergeTable) -> DataFrame:
@@ -110,69 +133,139 @@ def table_mark(spark: SparkSession, table: MergeTable) -> int | None:
     """Newest timestamp of the table, in microseconds, as the last load noted it; None for no table."""
     known = _state(spark, table)
     if known is not None:
-        return known[1]
+        return known.mark
     return high_water_mark(read_table(spark, table)) if table_exists(spark, table) else None
 
 
-def upsert(spark: SparkSession, table: MergeTable, batch: DataFrame) -> None:
+def rows_of_keys(
+    spark: SparkSession, table: MergeTable, keys: DataFrame, columns: list[str] | None = None, by: str | None = None
+) -> DataFrame:
+    """Stored rows with one of the keys, and the part each lies in; ``keys`` is a stored table with that column.
+
+    Up to ``PUSHED_KEYS`` keys go to the Parquet readers as constants: row groups whose Bloom filter knows none of them,
+    and pages outside their range, are not read. More keys meet the key column of their buckets in a join.
+    ``by`` is one of the other searched columns, to look for instead of the key.
+    """
+    current = _stored_rows(spark, table)
+    column = by or table.key
+    if columns is not None:
+        current = current.select(*dict.fromkeys([table.key, column, *columns]), BUCKET, MONTH)
+    known = _state(spark, table)
+    wanted = keys.select(column).filter(F.col(column).isNotNull()).distinct()
+    few = [r[0] for r in wanted.limit(PUSHED_KEYS + 1).collect()]
+    if by is None and known is not None:
+        buckets = [r[0] for r in wanted.select(bucket_of(table, known.buckets)).distinct().collect()]
+        current = current.filter(F.col(BUCKET).isin(buckets))
+    if len(few) <= PUSHED_KEYS:
+        return current.filter(F.col(column).isin(few))
+    return current.join(wanted, column, "left_semi")
+
+
+def upsert(
+    spark: SparkSession, table: MergeTable, batch: DataFrame, old: DataFrame | None = None, gone: DataFrame | None = None
+) -> None:
     """Merge a batch into the table, rewriting only the buckets of months that it touches.
 
+    ``old`` holds the parts (two columns) where stored rows of the batch's keys lie, if that is known already.
+    ``gone`` holds keys whose rows are taken away; none of them is in the batch.
+
     What a load writes last is the mark. One that died before that is simply run
     again: its batch is still newer than the mark, and merging by key repeats
     itself, also over months that were already rewritten or not yet emptied.
     One writer at a time; readers in between may see a part of the load.
     """
     scratch = scratch_path(spark, table.path)
-    split = batch.withColumn(BUCKET, bucket_of(table)).withColumn(MONTH, month_of(batch, table.date))
-    rows = write_and_read(split, f"{scratch}/batch")
+    rows = write_and_read(batch.withColumn(MONTH, month_of(batch, table.date)), f"{scratch}/batch")
     try:
-        if rows.isEmpty():
+        if gone is not None and (gone.isEmpty() or not table_exists(spark, table)):
+            gone = None
+        if rows.isEmpty() and gone is None:
             return
         if not duplicate_keys(rows, table.key).isEmpty():
             raise DuplicateKeys(f"batch for {table.path} repeats values of {table.key}")
+        known = _state(spark, table)
         mark = high_water_mark(rows) if WATERMARK in batch.columns else None
         columns = batch.schema
+        if known is None:
+            known = State(columns, None, table.buckets or _buckets_for(spark, table, rows, f"{scratch}/batch"))
+            # Which bucket a key lies in is known before the first row is stored.
+            _note_state(spark, table, known)
+        rows = rows.withColumn(BUCKET, bucket_of(table, known.buckets)).select(*batch.columns, BUCKET, MONTH)
         if table_exists(spark, table):
             current = _stored_rows(spark, table)
             if not table.sync_columns:
                 columns = current.drop(BUCKET, MONTH).schema
             mark = max((m for m in (mark, table_mark(spark, table)) if m is not None), default=None)
-            _rewrite(spark, table, current, rows, f"{scratch}/merged")
+            _rewrite(spark, table, current, rows, old, gone)
         else:
-            _write_parts(rows, table.path)
-        _note_state(spark, table, columns, mark)
+            _write_parts(_in_order(rows, table), table)
+        _note_state(spark, table, State(columns, mark, known.buckets))
     finally:
         delete_path(spark, scratch)
 
 
-def _write_parts(rows: DataFrame, path: str) -> None:
-    """Replace the parts that the rows belong to; adaptive execution splits a large part into several files."""
-    parts = rows.hint("rebalance", BUCKET, MONTH)
-    parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, MONTH).parquet(path)
+def _buckets_for(spark: SparkSession, table: MergeTable, rows: DataFrame, path: str) -> int:
+    """So many buckets that no part of the first load is beyond its size, and where the note is lost, as many as there are."""
+    if table_exists(spark, table):
+        return 1 + max(int(n.removeprefix(f"{BUCKET}=")) for n in child_names(spark, table.path) if n.startswith(f"{BUCKET}="))
+    sizes = rows.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
+    return max(1, round(folder_bytes(spark, path) * sizes["most"] / sizes["all"] / PART_BYTES))
+
+
+def _in_order(rows: DataFrame, table: MergeTable) -> DataFrame:
+    """Rows of a part together and sorted by key; adaptive execution splits a large part into several files."""
+    return rows.hint("rebalance", BUCKET, MONTH).sortWithinPartitions(BUCKET, MONTH, table.key)
 
 
-def _rewrite(spark: SparkSession, table: MergeTable, current: DataFrame, rows: DataFrame, scratch: str) -> None:
-    touched = rows.select(BUCKET, MONTH)
-    if not table.key_fixes_month:
-        # A bucket in which the batch has keys is searched for their old months; only its key column is read.
-        buckets = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-        old = current.filter(F.col(BUCKET).isin(buckets)).select(table.key, BUCKET, MONTH)
-        touched = touched.union(old.join(rows.select(table.key), table.key, "left_semi").select(BUCKET, MONTH))
-    # At most one pair per bucket and calendar month comes to the driver.
-    parts = sorted(map(tuple, touched.distinct().collect()))
+def _write_parts(rows: DataFrame, table: MergeTable) -> None:
+    """Replace the parts that the rows belong to. Spark writes them aside first, so they may be read from the table itself."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, MONTH)
+    for column in (table.key, *table.also_searched):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option(f"parquet.bloom.filter.fpp#{column}", str(BLOOM_ERRORS))
+    # A filter takes the size its keys need, up to that of a row group of some million keys.
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true").option("parquet.bloom.filter.max.bytes", str(8 << 20))
+    writer.parquet(table.path)
+
+
+def _among(parts: list[tuple[int, int]]) -> Column:
+    """Whether a row lies in one of the parts, in a form that selects folders."""
     of_bucket: dict[int, list[int]] = {}
     for bucket, month in parts:
         of_bucket.setdefault(bucket, []).append(month)
     wanted = F.lit(False)
     for bucket, months in of_bucket.items():
         wanted |= (F.col(BUCKET) == bucket) & F.col(MONTH).isin(months)
-    merged = write_and_read(merge_rows(current.filter(wanted), rows, table.key, table.sync_columns), scratch)
-    filled = set(map(tuple, merged.select(BUCKET, MONTH).distinct().collect()))
-    _write_parts(merged, table.path)
-    for bucket, month in parts:
-        if (bucket, month) not in filled:
-            # All rows of this part have moved to another month.
-            delete_path(spark, f"{table.path}/{BUCKET}={bucket}/{MONTH}={month}")
+    return wanted
+
+
+def _parts(df: DataFrame) -> list[tuple[int, int]]:
+    """At most one pair per bucket and calendar month comes to the driver."""
+    return sorted(tuple(r) for r in df.select(BUCKET, MONTH).distinct().collect())
+
+
+def _rewrite(
+    spark: SparkSession, table: MergeTable, current: DataFrame, rows: DataFrame, old: DataFrame | None, gone: DataFrame | None
+) -> None:
+    own = _parts(rows)
+    if old is not None:
+        found = _parts(old)
+    else:
+        found = [] if table.key_fixes_month else _parts(rows_of_keys(spark, table, rows, []))
+    replaced = rows.select(table.key)
+    if gone is not None:
+        found += _parts(rows_of_keys(spark, table, gone, []))
+        replaced = replaced.union(gone.select(table.key))
+    left = sorted(set(found) - set(own))
+    kept = current.join(replaced, table.key, "left_anti")
+    emptied = set(left) - set(_parts(kept.filter(_among(left)))) if left else set()
+    merged = merge_rows(current.filter(_among([*own, *left])), rows, table.key, table.sync_columns)
+    if gone is not None:
+        merged = merged.join(gone.select(table.key), table.key, "left_anti").select(*merged.columns)
+    _write_parts(_in_order(merged, table), table)
+    for bucket, month in sorted(emptied):
+        # All rows of this part have moved to another month or are gone.
+        delete_path(spark, f"{table.path}/{BUCKET}={bucket}/{MONTH}={month}")
 
 
 def merge_into(batch: DataFrame, table: str, key: str) -> None:

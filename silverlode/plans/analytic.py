@@ -124,7 +124,7 @@ def _measure_rows(df: DataFrame, month: Column, measures: dict[str, Column]) ->
     )
 
 
-def _payments_of_invoices(payment: DataFrame, billing: DataFrame) -> DataFrame:
+def payments_of_invoices(payment: DataFrame, billing: DataFrame) -> DataFrame:
     """Monthly payment sums with the customer of the invoice.
 
     Payments are summed per invoice and month before the join. An invoice that
@@ -143,17 +143,11 @@ def _payments_of_invoices(payment: DataFrame, billing: DataFrame) -> DataFrame:
     return per_invoice.join(billing.select("invoice_id", "customer_id"), "invoice_id")
 
 
-def friction_measures(
-    billing: DataFrame, payment: DataFrame, usage: DataFrame, network: DataFrame, support: DataFrame
+def friction_rows(
+    billing: DataFrame, paid: DataFrame, usage: DataFrame, network: DataFrame, support: DataFrame
 ) -> DataFrame:
-    """All measures per customer and month in one aggregation.
-
-    The five domains are laid out as rows of one shape and grouped once, so the
-    customer-months exist without being listed first, and one shuffle of
-    pre-aggregated rows replaces a distinct union and five joins.
-    """
+    """The five domains as rows of one shape; ``paid`` are ``payments_of_invoices``."""
     c = F.col
-    paid = _payments_of_invoices(payment, billing)
     # Payments without a date keep their customer-month, but count for nothing in it.
     dated = c("month_start").isNotNull()
     rows = [
@@ -201,7 +195,20 @@ def friction_measures(
     union = rows[0]
     for more in rows[1:]:
         union = union.unionByName(more)
-    return union.groupBy("customer_id", "month_start").agg(
+    return union
+
+
+def friction_measures(
+    billing: DataFrame, payment: DataFrame, usage: DataFrame, network: DataFrame, support: DataFrame
+) -> DataFrame:
+    """All measures per customer and month in one aggregation.
+
+    The five domains are laid out as rows of one shape and grouped once, so the
+    customer-months exist without being listed first, and one shuffle of
+    pre-aggregated rows replaces a distinct union and five joins.
+    """
+    rows = friction_rows(billing, payments_of_invoices(payment, billing), usage, network, support)
+    return rows.groupBy("customer_id", "month_start").agg(
         *[F.coalesce(how(name), F.lit(0)).alias(name) for name, (_, how) in MEASURES.items()]
     )
 
@@ -214,19 +221,17 @@ def friction_monthly(
     support: DataFrame,
     customer: DataFrame,
 ) -> DataFrame:
-    """Billing, payment, usage, network and support friction of each customer-month.
+    """Billing, payment, usage, network and support friction of each customer-month, with the customer's region."""
+    return with_region(friction_measures(billing, payment, usage, network, support), customer)
 
-    """
-    measures = friction_measures(billing, payment, usage, network, support)
-    known = customer.select("customer_id", "region")
-    extra = known.columns[2:]
-    return measures.join(known, "customer_id", "left").select(
+
+def with_region(measures: DataFrame, customer: DataFrame) -> DataFrame:
+    return measures.join(customer.select("customer_id", "region"), "customer_id", "left").select(
         "customer_id",
         dates.month_key(F.col("month_start")).alias("year_month"),
         "month_start",
         "region",
         *MEASURES,
-        *extra,
     )
 
 

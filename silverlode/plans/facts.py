@@ -294,10 +294,16 @@ def fact_retention_target_monthly(target: DataFrame) -> DataFrame:
     )
 
 
-def fact_customer_month_snapshot(subscription: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    """The newest contract of each customer in each month it runs, up to the run."""
+def fact_customer_month_snapshot(
+    subscription: DataFrame, as_of: dt.date | None = None, earliest: Column | None = None
+) -> DataFrame:
+    """The newest contract of each customer in each month it runs, up to the run.
+
+    ``earliest`` is the first month wanted, by contract; it has to be the same for all contracts of a customer.
+    """
     c = F.col
     today = dates.day(as_of)
+    first = F.lit(FIRST_DAY) if earliest is None else F.greatest(F.lit(FIRST_DAY), earliest)
     contracts = subscription.select(
         "customer_id",
         "subscription_id",
@@ -308,12 +314,13 @@ def fact_customer_month_snapshot(subscription: DataFrame, as_of: dt.date | None
         "contract_start_date",
         "contract_end_date",
         "status",
+        first.alias("first_month"),
     )
     running = months_covered(
         contracts,
         c("contract_start_date"),
         F.coalesce(c("contract_end_date"), today),
-        F.lit(FIRST_DAY),
+        c("first_month"),
         last_calendar_day(as_of),
     )
     newest = latest_per_key(

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from silverlode.plans import analytic, bronze, dimensions, facts, marts
 from silverlode.plans.silver.billing import clean_billing
 from silverlode.plans.silver.churn import clean_churn
+from silverlode.plans.silver.common import RESTORE
 from silverlode.plans.silver.customer import clean_customer
 from silverlode.plans.silver.macro import clean_macro
 from silverlode.plans.silver.marketing import clean_marketing
@@ -34,6 +35,7 @@ class Model:
     build: Callable[..., DataFrame]
     inputs: tuple[str, ...]
     dated: bool = False  # takes the clock of the run
+    deletable: bool = False  # takes what a deletion does
 
 
 BRONZE = {f"stg_{source}": Model(bronze.replica, (source,)) for source in COLUMNS}
@@ -47,8 +49,8 @@ SILVER = {
     "int_billing_clean": Model(clean_billing, ("stg_billing_invoices",), True),
     "int_payment_clean": Model(clean_payment, ("stg_payments",), True),
     "int_usage_clean": Model(clean_usage, ("stg_service_usage",), True),
-    "int_network_clean": Model(clean_network, ("stg_network_quality",), True),
-    "int_support_clean": Model(clean_support, ("stg_support_tickets",), True),
+    "int_network_clean": Model(clean_network, ("stg_network_quality",), True, True),
+    "int_support_clean": Model(clean_support, ("stg_support_tickets",), True, True),
     "int_marketing_clean": Model(clean_marketing, ("stg_marketing_retention",), True),
     "int_churn_clean": Model(clean_churn, ("stg_churn_labels", "int_customer_clean"), True),
     "int_macro_clean": Model(clean_macro, ("stg_macro_monthly",), True),
@@ -143,9 +145,11 @@ class Warehouse:
         raw: Callable[[str], DataFrame],
         as_of: dt.date | None = None,
         stored: Mapping[str, DataFrame] | None = None,
+        deletes: str = RESTORE,
     ):
         self.spark = spark
         self.as_of = as_of
+        self.deletes = deletes
         self._raw = raw
         self._tables: dict[str, DataFrame] = dict(stored or {})
 
@@ -164,8 +168,10 @@ class Warehouse:
         if name not in MODELS:
             return self._raw(name)
         model = MODELS[name]
-        clock = {"as_of": self.as_of} if model.dated else {}
-        return model.build(*(self[i] for i in model.inputs), **clock)
+        options = {"as_of": self.as_of} if model.dated else {}
+        if model.deletable:
+            options["deletes"] = self.deletes
+        return model.build(*(self[i] for i in model.inputs), **options)
 
     def create_views(self) -> None:
         """Register bronze, silver and analytic models as temporary views."""

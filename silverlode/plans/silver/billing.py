@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import dates, numeric, parsing, text
-from silverlode.operators.latest import latest_version
-from silverlode.plans.silver.common import extracted_at, keep_if, lineage, not_before
+from silverlode.plans.silver.common import extracted_at, keep_if, lineage, newest_records, not_before
 
 # Fixed values.
 ADDED = ("base_charge", "service_charge", "equipment_charge", "extra_usage_charge", "tax")
@@ -20,15 +19,7 @@ TOTAL_TOLERANCE = "0.05"
 def clean_billing(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     today = dates.day(as_of)
     c = F.col
-    newest = latest_version(
-        raw.filter(
-            text.has_text(c("invoice_id"))
-            & text.has_text(c("customer_id"))
-            & c("issue_date").isNotNull()
-            & (F.coalesce(c("total_amount"), F.lit(0)) >= 0)
-        ),
-        "invoice_id",
-    )
+    newest = newest_records(raw, "billing_invoices")
     staged = newest.select(
         *[F.trim(i).alias(i) for i in ("invoice_id", "customer_id", "subscription_id", "account_id")],
         parsing.safe_date(raw, "issue_date").alias("issue_date"),

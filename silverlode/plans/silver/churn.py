@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import dates, numeric, parsing, text
-from silverlode.operators.latest import latest_version
-from silverlode.plans.silver.common import extracted_at, keep_if, lineage
+from silverlode.plans.silver.common import extracted_at, keep_if, lineage, newest_records
 
 # Words in the reason that decide its class; the first fit is taken.
 REASONS = {
@@ -28,9 +27,7 @@ def clean_churn(raw: DataFrame, customer: DataFrame, as_of: dt.date | None = Non
     """The newest label decides; only then are customers that stayed left out."""
     today = dates.day(as_of)
     c = F.col
-    newest = latest_version(
-        raw.filter(text.has_text(c("customer_id")) & c("churned").isin(0, 1)), "customer_id"
-    ).filter(c("churned") == 1)
+    newest = newest_records(raw, "churn_labels").filter(c("churned") == 1)
     churned = newest.select(
         F.trim("customer_id").alias("customer_id"),
         parsing.safe_date(raw, "churn_date").alias("churn_date"),

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import dates, numeric, parsing, text
-from silverlode.operators.latest import latest_version
-from silverlode.plans.silver.common import extracted_at, lineage
+from silverlode.plans.silver.common import extracted_at, lineage, newest_records
 
 # Spanish and English spellings of each code.
 GENDERS = {
@@ -25,16 +24,13 @@ MARITAL_STATUSES = {
 }
 # Lower age of each band.
 AGE_BANDS = {18: "18_24", 25: "25_34", 35: "35_44", 45: "45_64", 65: "65_PLUS"}
-OLDEST = 120
 SENIOR_FROM = 65
 
 
 def clean_customer(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     today = dates.day(as_of)
     c = F.col
-    newest = latest_version(
-        raw.filter(text.has_text(c("customer_id")) & c("age").between(min(AGE_BANDS), OLDEST)), "customer_id"
-    )
+    newest = newest_records(raw, "crm_customers")
     staged = newest.select(
         F.trim("customer_id").alias("customer_id"),
         F.sha2(F.coalesce("msisdn", F.lit("")), 256).alias("msisdn_hash"),

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import dates, numeric, parsing, text
-from silverlode.operators.latest import latest_version
-from silverlode.plans.silver.common import extracted_at, keep_if, lineage
+from silverlode.plans.silver.common import extracted_at, keep_if, lineage, newest_records
 
 # Decimal places of each indicator and the name of its check.
 INDICATORS = {
@@ -35,7 +34,7 @@ def _plausible():
 def clean_macro(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     c = F.col
     this_month = dates.month_start(dates.day(as_of))
-    newest = latest_version(raw.filter(parsing.is_month_key(F.trim("year_month"))), "year_month")
+    newest = newest_records(raw, "macro_monthly")
     staged = newest.select(
         F.trim("year_month").alias("year_month"),
         parsing.month_key_to_date(F.trim("year_month")).alias("month_start"),

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import dates, numeric, parsing, text
-from silverlode.operators.latest import latest_version
-from silverlode.plans.silver.common import extracted_at, keep_if, lineage
+from silverlode.plans.silver.common import extracted_at, keep_if, lineage, newest_records
 
 # Fixed values.
 DISCOUNT_CAP = 100
@@ -19,14 +18,7 @@ FREE_MONTHS_CAP = 24
 def clean_marketing(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     today = dates.day(as_of)
     c = F.col
-    newest = latest_version(
-        raw.filter(
-            text.has_text(c("interaction_id"))
-            & text.has_text(c("customer_id"))
-            & c("contact_date").isNotNull()
-        ),
-        "interaction_id",
-    )
+    newest = newest_records(raw, "marketing_retention")
 
     def yes(name: str):
         return F.coalesce(c(name), F.lit(False))

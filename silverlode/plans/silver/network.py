@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import dates, numeric, parsing, text
-from silverlode.operators.latest import latest_version
-from silverlode.plans.silver.common import extracted_at, keep_if, lineage
+from silverlode.plans.silver.common import RESTORE, extracted_at, keep_if, lineage, newest_records
 
 # Caps, physical signal range, and the limits of the bands.
 LATENCY_CAP, JITTER_CAP, LOSS_CAP = 10000, 5000, 100
@@ -19,16 +18,13 @@ DEGRADED_LOSS, DEGRADED_LATENCY, DEGRADED_JITTER = 5, 200, 50
 WEAK_SIGNAL = -110
 
 
-def clean_network(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    """Deleted versions are left out first, so an older live version comes back."""
+def clean_network(raw: DataFrame, as_of: dt.date | None = None, deletes: str = RESTORE) -> DataFrame:
+    """Deleted versions are left out first, so an older live version comes back; with ``deletes="tombstone"`` the
+    newest version decides, and a deleted record stays away.
+    """
     today = dates.day(as_of)
     c = F.col
-    newest = latest_version(
-        raw.filter(
-            text.has_text(c("event_id")) & text.has_text(c("customer_id")) & c("_ab_cdc_deleted_at").isNull()
-        ),
-        "event_id",
-    )
+    newest = newest_records(raw, "network_quality", deletes)
     staged = newest.select(
         *[F.trim(i).alias(i) for i in ("event_id", "customer_id", "device_id")],
         parsing.safe_timestamp(raw, "timestamp").alias("event_timestamp"),

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import dates, numeric, parsing, text
-from silverlode.operators.latest import latest_version
-from silverlode.plans.silver.common import extracted_at, lineage
+from silverlode.plans.silver.common import extracted_at, lineage, newest_records
 
 # Spellings of each status, and tolerances.
 STATUSES = {
@@ -27,15 +26,7 @@ def clean_payment(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """No row is dropped for its date: missing and future payment dates stay."""
     today = dates.day(as_of)
     c = F.col
-    newest = latest_version(
-        raw.filter(
-            text.has_text(c("payment_id"))
-            & text.has_text(c("customer_id"))
-            & (F.coalesce(c("amount_due"), F.lit(0)) >= 0)
-            & (F.coalesce(c("amount_paid"), F.lit(0)) >= 0)
-        ),
-        "payment_id",
-    )
+    newest = newest_records(raw, "payments")
     staged = newest.select(
         *[F.trim(i).alias(i) for i in ("payment_id", "invoice_id", "customer_id")],
         parsing.safe_date(raw, "payment_date").alias("payment_date"),

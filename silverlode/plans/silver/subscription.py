@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import dates, numeric, parsing, text
-from silverlode.operators.latest import latest_version
-from silverlode.plans.silver.common import extracted_at, keep_if, lineage, not_before
+from silverlode.plans.silver.common import extracted_at, keep_if, lineage, newest_records, not_before
 
 # Spellings of each status and contract type.
 STATUSES = {
@@ -40,14 +39,7 @@ SERVICES = {
 def clean_subscription(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     today = dates.day(as_of)
     c = F.col
-    newest = latest_version(
-        raw.filter(
-            text.has_text(c("subscription_id"))
-            & text.has_text(c("customer_id"))
-            & c("contract_start_date").isNotNull()
-        ),
-        "subscription_id",
-    )
+    newest = newest_records(raw, "subscriptions_contracts")
     staged = newest.select(
         F.trim("subscription_id").alias("subscription_id"),
         F.trim("customer_id").alias("customer_id"),

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import dates, numeric, parsing, text
-from silverlode.operators.latest import latest_version
-from silverlode.plans.silver.common import extracted_at, keep_if, lineage, not_before
+from silverlode.plans.silver.common import RESTORE, extracted_at, keep_if, lineage, newest_records, not_before
 
 # Spellings of each status.
 STATUSES = {
@@ -32,16 +31,13 @@ SLA_MINUTES_ANY = 1440
 BEST_SCORE = 5
 
 
-def clean_support(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    """Deleted versions are left out first, so an older live version comes back."""
+def clean_support(raw: DataFrame, as_of: dt.date | None = None, deletes: str = RESTORE) -> DataFrame:
+    """Deleted versions are left out first, so an older live version comes back; with ``deletes="tombstone"`` the
+    newest version decides, and a deleted record stays away.
+    """
     today = dates.day(as_of)
     c = F.col
-    newest = latest_version(
-        raw.filter(
-            text.has_text(c("ticket_id")) & text.has_text(c("customer_id")) & c("_ab_cdc_deleted_at").isNull()
-        ),
-        "ticket_id",
-    )
+    newest = newest_records(raw, "support_tickets", deletes)
     unreadable_as_false = F.lit(False)
     staged = newest.select(
         F.trim("ticket_id").alias("ticket_id"),

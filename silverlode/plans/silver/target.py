@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import numeric, parsing, text
-from silverlode.operators.latest import latest_version
-from silverlode.plans.silver.common import extracted_at, lineage
+from silverlode.plans.silver.common import extracted_at, lineage, newest_records
 
 # Fixed values.
 RATE_CAP = 100
@@ -22,9 +21,7 @@ def _status(value: Column, *more: tuple[Column, str]) -> Column:
 def clean_retention_target(raw: DataFrame) -> DataFrame:
     """Targets for coming months stay."""
     c = F.col
-    newest = latest_version(
-        raw.filter(text.has_text(c("target_id")) & parsing.is_month_key(F.trim("year_month"))), "target_id"
-    )
+    newest = newest_records(raw, "metas_retencion_region_mes")
     staged = newest.select(
         F.trim("target_id").alias("target_id"),
         text.category(c("region")).alias("region"),

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import dates, numeric, parsing, text
-from silverlode.operators.latest import latest_version
-from silverlode.plans.silver.common import extracted_at, lineage
+from silverlode.plans.silver.common import extracted_at, lineage, newest_records
 
 # Decimal places of each metric, caps, tolerance.
 METRIC_SCALES = {
@@ -32,12 +31,7 @@ COMPONENT_TOLERANCE = Decimal("0.10")
 def clean_usage(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     today = dates.day(as_of)
     c = F.col
-    newest = latest_version(
-        raw.filter(
-            text.has_text(c("usage_id")) & text.has_text(c("customer_id")) & c("usage_date").isNotNull()
-        ),
-        "usage_id",
-    )
+    newest = newest_records(raw, "service_usage")
     staged = newest.select(
         F.trim("usage_id").alias("usage_id"),
         F.trim("customer_id").alias("customer_id"),

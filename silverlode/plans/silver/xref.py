@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions import text
-from silverlode.operators.latest import EXTRACTED_AT, latest_version
+from silverlode.operators.latest import EXTRACTED_AT
+from silverlode.plans.silver.common import newest_records
 
 
 def clean_xref(raw: DataFrame) -> DataFrame:
-    filled = raw.filter(text.has_text(F.col("account_id")) & text.has_text(F.col("customer_id")))
-    return latest_version(filled, "account_id", "customer_id").select(
+    return newest_records(raw, "xref_customer_id").select(
         F.trim("account_id").alias("account_id"),
         F.trim("customer_id").alias("customer_id"),
         text.tidy(F.col("source_crm")).alias("source_crm"),
