@@ -145,12 +145,12 @@ def _sketches(size: int, bands: int, rows: int):
     return run
 
 
-def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts move between tasks several times, so they are packed once."""
     pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
-        packed = [pack(text.as_py().encode()) for text in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["class", "text"])
+        texts = pa.array([pack(text.as_py().encode()) for text in batch.column(2)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["doc_id", "text_key", "text"])
 
 
 def _set_of(packed: pa.Scalar, size: int) -> np.ndarray:
@@ -298,54 +298,53 @@ def near_duplicates(
     classes = stored(classes)
 
     # Bands that several classes share, with the classes that stand in them.
-    in_bands = classes.select("class", "n", F.explode("bands").alias("band"))
+    in_bands = classes.select("class", F.explode("bands").alias("band"))
     shared = in_bands.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
     members = stored(in_bands.join(shared, "band"))
 
     near_size = (whole * F.least("n", "n_b") >= part * F.greatest("n", "n_b"))
     sizes = classes.select(F.col("class").alias("b"), F.col("n").alias("n_b"))
-    pivots = members.select("class", "n", F.explode(F.array_distinct(F.array("low", "high"))).alias("b")).filter("class <> b")
-    pivots = pivots.select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")).distinct()
+    met = [members.select("class", F.col(end).alias("hub")).filter(F.col("class") != F.col("hub")) for end in ("low", "high")]
+    pivots = met[0].unionByName(met[1]).groupBy(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))
+    pivots = pivots.agg(F.min("hub").alias("hub"))
 
     # One text of each class that has a candidate.
     wanted = members.select("class").distinct().join(classes.select("class", "sample"), "class")
-    texts = rows_in.select("doc_id", "text_key", "text").join(
+    packed = rows_in.select("doc_id", "text_key", "text").filter("text IS NOT NULL")
+    packed = packed.mapInArrow(_packed, T.StructType([schema["doc_id"], schema["text_key"], T.StructField("text", T.BinaryType())]))
+    texts = packed.join(
         wanted.select("class", F.col("sample.doc_id").alias("sample_id"), F.col("sample.text_key").alias("sample_key")),
         (F.col("text_key") == F.col("sample_key")) & F.col("doc_id").eqNullSafe(F.col("sample_id")),
     )
-    texts = stored(texts.select("class", "text").mapInArrow(_compressed, "class long, text binary"))
+    texts = stored(texts.select("class", "text"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """Of each pair the class with more pairs is the hub; its text goes once to each share of its members."""
-        pairs = stored(pairs)
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("pairs"))
-        for end in ("a", "b"):
-            pairs = pairs.join(ends.select(F.col("class").alias(end), F.col("pairs").alias(f"pairs_{end}")), end)
-        more = F.col("pairs_a") >= F.col("pairs_b")
-        share = F.pmod(F.xxhash64("member"), F.ceil(F.greatest("pairs_a", "pairs_b") / SHARE_OF_HUB)).cast("int").alias("share")
-        asked = pairs.withColumn("member", F.when(more, F.col("b")).otherwise(F.col("a")))
-        asked = stored(asked.select(F.when(more, F.col("a")).otherwise(F.col("b")).alias("hub"), share, "member"))
+        """The text of a hub goes once to each share of the classes that it is compared with."""
+        pairs = stored(pairs.select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("member")))
+        shares = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / SHARE_OF_HUB).alias("shares"))
+        share = F.pmod(F.xxhash64("member"), F.col("shares")).cast("int").alias("share")
+        asked = stored(pairs.join(shares, "hub").select("hub", share, "member"))
         rows = asked.select("hub", "share", F.col("member").alias("class"), F.lit(True).alias("is_member")).unionByName(
             asked.select("hub", "share", F.col("hub").alias("class"), F.lit(False).alias("is_member")).distinct()
         )
         full = rows.join(texts, "class").select("hub", "share", "class", "is_member", "text")
-        shares = full.repartition("hub", "share").sortWithinPartitions("hub", "share", "is_member")
+        dealt = full.repartition("hub", "share").sortWithinPartitions("hub", "share", "is_member")
         # A repeated row of the input gives its pairs once more, which changes no group.
-        return stored(shares.mapInArrow(_verified(size, similarity), "a long, b long"))
+        return stored(dealt.mapInArrow(_verified(size, similarity), "a long, b long"))
 
     sized = pivots.join(classes.select(F.col("class").alias("a"), "n"), "a").join(sizes, "b").filter(near_size)
-    links = verify(sized.select("a", "b"))
+    links = verify(sized.select("a", "b", "hub"))
     found = components(links)
 
     # Members of the largest group of a band need no comparison with each other; all others meet everyone of another group.
-    grouped = members.select("band", "class", "n").join(found, F.col("class") == F.col("node"), "left")
-    grouped = grouped.select("band", "class", "n", F.coalesce("root", "class").alias("root"))
+    grouped = members.select("band", "class").join(found, F.col("class") == F.col("node"), "left")
+    grouped = grouped.select("band", "class", F.coalesce("root", "class").alias("root"))
     per_group = grouped.groupBy("band", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = per_group.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count(F.lit(1)).alias("groups"))
     unsettled = stored(grouped.join(largest.filter("groups > 1"), "band").select("class", "root", (F.col("root") != F.col("main")).alias("minor")))
     apart = stored(unsettled.groupBy("class", "root").agg(F.max("minor").alias("minor")))
     rest = _sharing_rare_shingles(apart, texts, size, similarity)
-    found = components(links.unionByName(verify(rest)))
+    found = components(links.unionByName(verify(rest.withColumn("hub", F.col("a")))))
 
     known = classes.select("set_key", "class", "smallest").join(found, F.col("class") == F.col("node"), "left")
     known = known.select("set_key", "smallest", F.coalesce("root", "class").alias("root"))
