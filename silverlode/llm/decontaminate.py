@@ -160,7 +160,10 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, similarity: tuple[int
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that contain no benchmark item, all columns kept."""
+    """The rows of ``docs`` that contain no benchmark item, all columns kept.
+
+    Null and empty texts stay. Rows with the same id, also a null one, and the same text share their fate.
+    """
     leaks = leaked_passages(docs, benchmark).select(F.col("doc_id").alias("leak_id"), F.col("text_key").alias("leak_key"))
     leaks = stored(leaks.distinct())
     # All columns in one, so that no name of theirs meets those of the leaks.

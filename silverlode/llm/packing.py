@@ -290,5 +290,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    """Pack all documents into as few sequences as large-item matching and best fit give."""
+    """Pack all documents into as few sequences as large-item matching and best fit give.
+
+    Null and empty texts are one end mark. Null and repeated ids are pieces of their own; which of equal pieces goes
+    to which sequence is open, as is the order of pieces of one length. Further columns of ``docs`` are left out.
+    """
     return pack(token_pieces(docs, tokenizer, capacity, keep_ids), capacity)

@@ -244,7 +244,10 @@ def secret_digests(docs: DataFrame) -> DataFrame:
 
 
 def without_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span of a secret replaced by a mark; texts without secrets and all other columns stay."""
+    """``docs`` with every span of a secret replaced by a mark; texts without secrets and all other columns stay.
+
+    Null texts stay null, empty ones empty; repeated rows are masked alike, and none is dropped.
+    """
     names = docs.columns
     # All columns in one, so that no name of theirs meets one of the steps.
     rows = docs.select(F.struct(*[F.col(c) for c in names]).alias("_row"), "text")

@@ -261,7 +261,10 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` with a score below the threshold, all columns kept."""
+    """The rows of ``docs`` with a score below the threshold, all columns kept.
+
+    A null or empty text has the score of a text without known words; each repeated row is judged alike.
+    """
     names = docs.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
