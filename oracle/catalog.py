@@ -142,13 +142,171 @@ OPERATORS = {
 FROM support_tickets""",
     ),
 }
+
+
+# The whole suite: keys (not missing, not repeated), required columns, and the other checks with their condition.
+_keys = {
+    "int_customer_clean": "customer_id", "int_churn_clean": "customer_id", "int_subscription_clean": "subscription_id",
+    "int_billing_clean": "invoice_id", "int_payment_clean": "payment_id", "int_usage_clean": "usage_id", "int_network_clean": "event_id",
+    "int_support_clean": "ticket_id", "int_marketing_clean": "interaction_id", "int_macro_clean": "year_month",
+    "int_retention_target_clean": "target_id", "dim_customer": "customer_key customer_id", "dim_subscription": "subscription_key subscription_id",
+    "dim_date": "date_key", "dim_region": "region_key", "dim_plan": "plan_key", "dim_agent_team": "agent_team_key",
+    "dim_campaign": "campaign_key", "dim_network_node": "network_node_key", "fact_billing": "billing_key", "fact_payment": "payment_key",
+    "fact_usage_snapshot": "usage_key", "fact_network_event": "network_event_key", "fact_support_ticket": "support_ticket_key",
+    "fact_marketing_interaction": "marketing_interaction_key", "fact_churn_event": "churn_event_key", "fact_macro_monthly": "macro_month_key",
+    "fact_retention_target_monthly": "retention_target_key", "fact_subscription_event": "subscription_event_key",
+    "fact_customer_month_snapshot": "customer_month_key",
+}
+_required = {
+    "int_customer_clean": "age registration_date", "int_churn_clean": "churn_date", "int_subscription_clean": "customer_id",
+    "int_xref_customer_clean": "account_id customer_id", "fact_billing": "invoice_id", "fact_churn_event": "churn_date_key",
+    "fact_customer_month_snapshot": "month_date_key", "int_r5_ml_features": "observation_date label_churn_next_90d",
+    "order_item": "order_key line_number item_discount_amount",
+}
+_unknown = "customer_id NOT IN (SELECT customer_id FROM int_customer_clean)"
+_others = [
+    ("int_customer_clean", "age", "between", "age < 18 OR age > 120"),
+    (
+        "int_customer_clean",
+        "dependents_dq_status",
+        "accepted_values",
+        "dependents_dq_status NOT IN ('VALID', 'IMPUTED_ZERO', 'CORRECTED_TO_ZERO', 'BOOLEAN_ALIGNED_TO_COUNT')",
+    ),
+    ("int_churn_clean", "customer_id", "relationships", _unknown),
+    ("int_subscription_clean", "customer_id", "relationships", _unknown),
+    ("int_support_clean", "satisfaction_score", "between", "satisfaction_score < 0 OR satisfaction_score > 5"),
+    ("int_r5_ml_features", "label_churn_next_90d", "accepted_values", "label_churn_next_90d NOT IN (0, 1)"),
+]
+# What the query does to some tables before it checks them.
+_damage = {
+    "int_customer_clean": """SELECT * REPLACE (if(customer_id LIKE '%7', age + 200, age) AS age,
+  if(customer_id LIKE '%3', 'BROKEN', dependents_dq_status) AS dependents_dq_status,
+  if(customer_id LIKE '%9', NULL, registration_date) AS registration_date) FROM int_customer_clean""",
+    "int_usage_clean": "SELECT * FROM int_usage_clean UNION ALL SELECT * FROM int_usage_clean WHERE usage_id LIKE '%1'",
+    "int_support_clean": """SELECT * REPLACE (if(ticket_id LIKE '%5', satisfaction_score + 10, satisfaction_score) AS satisfaction_score)
+FROM int_support_clean""",
+    "int_billing_clean": "SELECT * REPLACE (if(invoice_id LIKE '%8', NULL, invoice_id) AS invoice_id) FROM int_billing_clean",
+    "int_r5_ml_features": """SELECT * REPLACE (if(customer_id LIKE '%2', 5, label_churn_next_90d) AS label_churn_next_90d)
+FROM int_r5_ml_features""",
+}
+_whole_suite = "\nUNION ALL ".join(
+    [_failures(m, c, "not_null", f"{c} IS NULL") for m, cs in _keys.items() for c in cs.split()]
+    + [_failures(m, c, "not_null", f"{c} IS NULL") for m, cs in _required.items() for c in cs.split()]
+    + [_failures(*check) for check in _others]
+    + [_repeats(m, c) for m, cs in _keys.items() for c in cs.split()]
+)
+for _name in _damage:
+    _whole_suite = _whole_suite.replace(f"FROM {_name}", f"FROM damaged_{_name}")
+_whole_suite = _whole_suite.replace("SELECT customer_id FROM damaged_", "SELECT customer_id FROM ")
+
+_n = "CAST(regexp_extract({}, '([0-9]+)', 1) AS BIGINT)"
+_earlier = "DATE '2023-07-01'"
+_payment, _ticket = _n.format("payment_id"), _n.format("ticket_id")
+_invoice = _n.format("invoice_id")
+_merged = "SELECT * FROM {new} UNION ALL SELECT * FROM {old} WHERE {key} NOT IN (SELECT {key} FROM {new})"
+_parsed = """try_strptime(payment_date, ['%Y-%m-%d', '%Y-%m-%d %H:%M:%S', '%m/%d/%Y', '%d-%b-%Y'])"""
+LATER = {
+    "dim_date": ((), _calendar),
+    **{f"damaged_{name}": ((name,), text) for name, text in _damage.items()},
+    "dq_suite": ((*_keys, "int_xref_customer_clean", "order_item", *(f"damaged_{n}" for n in _damage)), _whole_suite),
+    "text_payments": (
+        ("payments",),
+        f"""SELECT * REPLACE (CASE {_payment} % 5 WHEN 0 THEN strftime(payment_date, '%Y-%m-%d') WHEN 1 THEN strftime(payment_date, '%-m/%-d/%Y')
+  WHEN 2 THEN strftime(payment_date, '%-d-%b-%Y') WHEN 3 THEN strftime(payment_date, '%Y-%m-%d 10:30:00')
+  ELSE if(payment_date IS NULL, NULL, '31/31/2024') END AS payment_date) FROM payments""",
+    ),
+    "parsed_payments": (("text_payments",), f"SELECT * REPLACE (CAST({_parsed} AS DATE) AS payment_date) FROM text_payments"),
+    "text_dates": (("parsed_payments",), SILVER["int_payment_clean"][1].replace("FROM payments", "FROM parsed_payments")),
+    "early_invoices": (("billing_invoices",), f"SELECT * FROM billing_invoices WHERE {_invoice} % 3 <> 0"),
+    "late_invoices": (
+        ("billing_invoices",),
+        f"""SELECT * REPLACE (_airbyte_extracted_at + INTERVAL 1 DAY AS _airbyte_extracted_at) FROM billing_invoices
+WHERE {_invoice} % 3 = 0 OR {_invoice} % 5 = 0""",
+    ),
+    **{
+        name: (inputs, text)
+        for side in ("early", "late")
+        for name, inputs, text in (
+            (
+                f"{side}_billing_clean",
+                (f"{side}_invoices",),
+                SILVER["int_billing_clean"][1].replace("FROM billing_invoices", f"FROM {side}_invoices"),
+            ),
+            (
+                f"{side}_fact_billing",
+                (f"{side}_billing_clean", "int_subscription_clean", "int_customer_clean"),
+                GOLD["fact_billing"][1].replace("int_billing_clean", f"{side}_billing_clean"),
+            ),
+        )
+    },
+    "synced_fact": (
+        ("early_fact_billing", "late_fact_billing"),
+        """SELECT * FROM late_fact_billing WHERE source_extracted_at > (SELECT max(source_extracted_at) FROM early_fact_billing)""",
+    ),
+    "sync_columns_files": (
+        ("early_fact_billing", "synced_fact"),
+        """SELECT * FROM synced_fact UNION ALL SELECT * REPLACE (CAST(NULL AS VARCHAR) AS currency) FROM early_fact_billing
+WHERE billing_key NOT IN (SELECT billing_key FROM synced_fact)""",
+    ),
+    "earlier_contracts": (
+        ("subscriptions_contracts",),
+        "SELECT * REPLACE (contract_start_date - 20 AS contract_start_date) FROM subscriptions_contracts",
+    ),
+    "earlier_clean": (
+        ("earlier_contracts",),
+        SILVER["int_subscription_clean"][1].replace("FROM subscriptions_contracts", "FROM earlier_contracts").replace(TODAY, _earlier),
+    ),
+    "earlier_snapshot": (
+        ("earlier_clean",),
+        GOLD["fact_customer_month_snapshot"][1].replace("int_subscription_clean", "earlier_clean").replace(TODAY, _earlier),
+    ),
+    "snapshot_files": (
+        ("earlier_snapshot", "fact_customer_month_snapshot"),
+        _merged.format(new="fact_customer_month_snapshot", old="earlier_snapshot", key="customer_month_key"),
+    ),
+    "punctual_usage": (("service_usage",), f"SELECT * FROM service_usage WHERE {_first_load} AND sms_count % 3 <> 0"),
+    "punctual_clean": (("punctual_usage",), _usage_sql.replace("FROM service_usage", "FROM punctual_usage")),
+    "punctual_fact": (("punctual_clean",), _fact_sql.replace("FROM int_usage_clean", "FROM punctual_clean")),
+    "looked_back": (
+        ("fact_usage_snapshot", "punctual_fact"),
+        """SELECT * FROM fact_usage_snapshot
+WHERE source_extracted_at > (SELECT coalesce(max(source_extracted_at), TIMESTAMP '1900-01-01') - INTERVAL 5 DAY FROM punctual_fact)""",
+    ),
+    "lookback_files": (("looked_back", "punctual_fact"), _merged.format(new="looked_back", old="punctual_fact", key="usage_key")),
+    "live_tickets": (
+        ("support_tickets",),
+        f"SELECT * FROM support_tickets WHERE _ab_cdc_deleted_at IS NULL AND {_ticket} % 11 <> 0",
+    ),
+    "deletes_tombstone": (("live_tickets",), SILVER["int_support_clean"][1].replace("FROM support_tickets", "FROM live_tickets")),
+    "deletes_tombstone_files": (
+        ("deletes_tombstone", "int_customer_clean"),
+        GOLD["fact_support_ticket"][1].replace("FROM int_support_clean", "FROM deletes_tombstone"),
+    ),
+    **{f"no_{m}": ((f"int_{m}_clean",), f"SELECT * FROM int_{m}_clean WHERE false") for m in ("usage", "network", "support")},
+    "friction_by_changes": (
+        ("int_billing_clean", "int_payment_clean", "no_usage", "no_network", "no_support", "int_customer_clean"),
+        ANALYTIC["int_r3_friction_monthly"][1]
+        .replace("int_usage_clean", "no_usage")
+        .replace("int_network_clean", "no_network")
+        .replace("int_support_clean", "no_support"),
+    ),
+    "contracts_by_changes": (("int_subscription_clean",), "SELECT * FROM int_subscription_clean"),
+    "mart_r1_loaded": (("mart_r1_churn_early",), "SELECT *, true AS loaded_today FROM mart_r1_churn_early"),
+    "order_item_clustered": (("order_item",), "SELECT *, false AS overlaps FROM order_item"),
+    "views": (
+        ("int_customer_clean", "int_subscription_clean"),
+        """SELECT region, contract_type, count(*) AS contracts, count(DISTINCT customer_id) AS customers
+FROM int_subscription_clean JOIN (SELECT customer_id, region FROM int_customer_clean) USING (customer_id) GROUP BY ALL""",
+    ),
+}
+_STEPS = ("damaged_", "text_payments", "parsed_", "early_", "late_", "synced_", "earlier_", "punctual_", "looked_", "live_", "first_", "no_")
 STAGING = {
     **{f"stg_{source}": ((source,), f"SELECT * FROM {source}") for source in STATEMENTS},
     "tpch_orders": ((), "SELECT " + ", ".join(f"{a} AS {b}" for a, b in ORDERS.items()) + " FROM orders"),
     "tpch_lineitem": ((), "SELECT " + ", ".join(f"{a} AS {b}" for a, b in LINEITEM.items()) + " FROM lineitem"),
 }
-ALL = {**MODELS, **LOADS, **OPERATORS, **STAGING}
-QUERIES = [n for n in ALL if n not in RAW and not n.startswith("first_")]
+ALL = {**MODELS, **LOADS, **OPERATORS, **STAGING, **LATER}
+QUERIES = [n for n in ALL if n not in RAW and n != "dim_date" and not n.startswith(_STEPS)]
 
 
 

@@ -69,3 +69,19 @@ DECIMALS: dict[str, tuple[str, ...]] = {
     "stg_marketing_retention": ("discount_pct", "campaign_cost", "estimated_customer_value"),
     "stg_macro_monthly": ("ipc_index", "desempleo_pct", "inflacion_mensual", "tipo_cambio_bob_usd"),
 }
+
+# Queries that return a model's columns.
+for _name, _model in {
+    "text_dates": "int_payment_clean",
+    "sync_columns_files": "fact_billing",
+    "snapshot_files": "fact_customer_month_snapshot",
+    "lookback_files": "fact_usage_snapshot",
+    "deletes_tombstone": "int_support_clean",
+    "deletes_tombstone_files": "fact_support_ticket",
+    "friction_by_changes": "int_r3_friction_monthly",
+    "contracts_by_changes": "int_subscription_clean",
+    "mart_r1_loaded": "mart_r1_churn_early",
+    "order_item_clustered": "order_item",
+}.items():
+    if _model in DECIMALS:
+        DECIMALS[_name] = DECIMALS[_model]

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,12 +15,17 @@ from silverlode.operators import checks
 from silverlode.operators.incremental import changed_versions, high_water_mark, incremental_slice
 from silverlode.operators.latest import EXTRACTED_AT
 from silverlode.operators.merge import merge_rows, read_table
-from silverlode.operators.storage import scratch_path
+from silverlode.operators.storage import scratch_path, write_and_read
+from silverlode.operators.versioned import replace_table
 from silverlode.plans.facts import fact_usage_snapshot
-from silverlode.plans.models import CALENDAR, MODELS, Warehouse
-from silverlode.plans.refresh import fact_table, load_changes
+from silverlode.plans.models import CALENDAR, MODELS, SILVER, Warehouse
+from silverlode.plans.refresh import FRICTION, MART_LOADED_AT, SNAPSHOT, clustered_by_day, fact_table, load_changes, load_fact, loaded_now
+from silverlode.plans.silver.common import DELETED_AT, RESTORE, TOMBSTONE
+from silverlode.plans.silver.payment import clean_payment
+from silverlode.plans.silver.support import clean_support
 from silverlode.plans.silver.usage import clean_usage
 from silverlode.plans.suite import CHECKS
+from silverlode.plans.upkeep import CONTRACTS, Upkeep
 from silverlode.session import warn_unless_configured
 from silverlode.sources import derived
 from silverlode.sources.raw import COLUMNS, MAX_AGE, ORDER_TABLES, read_raw
@@ -30,6 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The moment freshness is judged at, and where the first of two loads ends.
 NOW = dt.datetime(2024, 2, 1, 12)
 FIRST_LOAD_UNTIL = dt.datetime(2024, 1, 15)
+# The day of the first of two runs.
+EARLIER_DAY = dt.date(2023, 7, 1)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -164,6 +171,172 @@ def upserted_files(tables: Warehouse) -> DataFrame:
     return read_table(spark, table)
 
 
+def _files(tables: Warehouse) -> str:
+    return scratch_path(tables.spark, f"/tmp/checkpoints/{tables.spark.sparkContext.applicationId}")
+
+
+def _with(tables: Warehouse, source: str, rows: DataFrame, as_of: dt.date | None = None, deletes: str = RESTORE) -> Warehouse:
+    """The models over the same raw tables but for one."""
+    return Warehouse(
+        tables.spark, lambda s: rows if s == source else tables[f"stg_{s}"], as_of or tables.as_of, deletes=deletes
+    )
+
+
+def _number(column: str):
+    return F.regexp_extract(column, "([0-9]+)", 1).cast("long")
+
+
+def _damaged(tables: Warehouse) -> dict[str, DataFrame]:
+    """Tables with failures of every kind."""
+
+    def changed(name: str, **values) -> DataFrame:
+        kinds = tables[name].schema
+        return tables[name].withColumns({c: v.cast(kinds[c].dataType) for c, v in values.items()})
+
+    def where(id_column: str, digit: int, value, otherwise: str):
+        return F.when(F.col(id_column).endswith(str(digit)), value).otherwise(F.col(otherwise))
+
+    usage = tables["int_usage_clean"]
+    return {
+        "int_customer_clean": changed(
+            "int_customer_clean",
+            age=where("customer_id", 7, F.col("age") + 200, "age"),
+            dependents_dq_status=where("customer_id", 3, F.lit("BROKEN"), "dependents_dq_status"),
+            registration_date=where("customer_id", 9, F.lit(None), "registration_date"),
+        ),
+        "int_usage_clean": usage.unionByName(usage.filter(F.col("usage_id").endswith("1"))),
+        "int_support_clean": changed(
+            "int_support_clean", satisfaction_score=where("ticket_id", 5, F.col("satisfaction_score") + 10, "satisfaction_score")
+        ),
+        "int_billing_clean": changed("int_billing_clean", invoice_id=where("invoice_id", 8, F.lit(None), "invoice_id")),
+        "int_r5_ml_features": changed(
+            "int_r5_ml_features", label_churn_next_90d=where("customer_id", 2, F.lit(5), "label_churn_next_90d")
+        ),
+    }
+
+
+def dq_suite(tables: Warehouse) -> DataFrame:
+    """All checks of all models, over stored silver, after some tables have been damaged."""
+    for name in (*SILVER, FRICTION):
+        tables.store(name, write_and_read(tables[name], _files(tables)))
+    models = {c.model for c in CHECKS} | {c.parent for c in CHECKS if c.parent}
+    return checks.run_suite({name: tables[name] for name in models} | _damaged(tables), CHECKS)
+
+
+def text_dates(tables: Warehouse) -> DataFrame:
+    """Payments whose dates arrive as text in five shapes, one of them unreadable."""
+    raw, day = tables["stg_payments"], F.col("payment_date")
+    shapes = ("yyyy-MM-dd", "M/d/yyyy", "d-MMM-yyyy", "yyyy-MM-dd '10:30:00'")
+    text = F.lit("31/31/2024")
+    for number, shape in enumerate(shapes):
+        text = F.when(_number("payment_id") % 5 == number, F.date_format(day, shape)).otherwise(text)
+    return clean_payment(raw.withColumn("payment_date", F.when(day.isNotNull(), text)), tables.as_of)
+
+
+def synced_columns(tables: Warehouse) -> DataFrame:
+    """The billing fact on files, after a load without one column and with one more, and a load with all of its own."""
+    raw, n = tables["stg_billing_invoices"], _number("invoice_id")
+    later = raw.filter((n % 3 == 0) | (n % 5 == 0)).withColumn(EXTRACTED_AT, F.col(EXTRACTED_AT) + F.expr("interval 1 day"))
+    table = fact_table(_files(tables), "fact_billing")
+    first = _with(tables, "billing_invoices", raw.filter(n % 3 != 0))["fact_billing"]
+    load_fact(tables.spark, table, first.drop("currency").withColumn("note", F.lit("old")))
+    load_fact(tables.spark, table, _with(tables, "billing_invoices", later)["fact_billing"])
+    return read_table(tables.spark, table)
+
+
+def snapshot_files(tables: Warehouse) -> DataFrame:
+    """The month snapshot on files, merged whole as of two days; rows of contracts that changed in between stay."""
+    raw = tables["stg_subscriptions_contracts"]
+    table = fact_table(_files(tables), SNAPSHOT)
+    for day in (EARLIER_DAY, tables.as_of):
+        shifted = raw if day == tables.as_of else raw.withColumn("contract_start_date", F.date_sub("contract_start_date", 20))
+        load_fact(tables.spark, table, _with(tables, "subscriptions_contracts", shifted, day)[SNAPSHOT], lookback=None)
+    return read_table(tables.spark, table)
+
+
+def lookback_files(tables: Warehouse) -> DataFrame:
+    """The usage fact on files: of rows that come late, those of the last five days before the mark are still taken in."""
+    table = fact_table(_files(tables), "fact_usage_snapshot")
+    raw = tables["stg_service_usage"]
+    until = F.col(EXTRACTED_AT) <= F.lit(FIRST_LOAD_UNTIL.isoformat(sep=" ")).cast("timestamp")
+    for rows, back in ((raw.filter(until & (F.col("sms_count") % 3 != 0)), 0), (raw, 5)):
+        load_changes(
+            tables.spark, "fact_usage_snapshot", table, lambda _, rows=rows: rows, tables.as_of, lookback=dt.timedelta(days=back)
+        )
+    return read_table(tables.spark, table)
+
+
+def _with_deletions(tables: Warehouse) -> DataFrame:
+    """Tickets, of which every eleventh is deleted a day later."""
+    raw = tables["stg_support_tickets"]
+    deleted = raw.filter(_number("ticket_id") % 11 == 0).withColumns(
+        {EXTRACTED_AT: F.col(EXTRACTED_AT) + F.expr("interval 1 day"), DELETED_AT: F.lit("2024-02-01")}
+    )
+    return raw.unionByName(deleted)
+
+
+def tombstones(tables: Warehouse) -> DataFrame:
+    return clean_support(_with_deletions(tables), tables.as_of, TOMBSTONE)
+
+
+def tombstones_in_fact(tables: Warehouse) -> DataFrame:
+    """The ticket fact on files: what a second load finds deleted leaves it."""
+    table = fact_table(_files(tables), "fact_support_ticket")
+    for rows in (tables["stg_support_tickets"], _with_deletions(tables)):
+        stored = {"int_customer_clean": tables["int_customer_clean"]}
+        load_changes(
+            tables.spark, "fact_support_ticket", table, lambda _, rows=rows: rows, tables.as_of, stored, deletes=TOMBSTONE
+        )
+    return read_table(tables.spark, table)
+
+
+def _kept_up(tables: Warehouse, sources: tuple[str, ...]) -> Warehouse:
+    """Stored tables after two loads of raw rows that were dealt out by their ids, the first as of an earlier day."""
+    keeper = Upkeep(tables.spark, _files(tables))
+    for number, day in ((0, EARLIER_DAY), (1, tables.as_of)):
+        rows = {s: tables[f"stg_{s}"] for s in sources}
+        dealt = {s: df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(2)) == number) for s, df in rows.items()}
+        keeper.load(dealt, day)
+    return keeper.silver(tables.as_of)
+
+
+def friction_by_changes(tables: Warehouse) -> DataFrame:
+    """Monthly friction of invoices and their payments, kept up by taking away old and adding new shares."""
+    return _kept_up(tables, ("billing_invoices", "payments", "crm_customers"))[FRICTION]
+
+
+def contracts_by_changes(tables: Warehouse) -> DataFrame:
+    """Clean contracts over newest versions that were merged load by load."""
+    return _kept_up(tables, (CONTRACTS,))["int_subscription_clean"]
+
+
+def loaded_mart(tables: Warehouse) -> DataFrame:
+    """A mart as it is stored: with the time of the load, which is known to lie in the day of this run."""
+    stored = replace_table(loaded_now(tables["mart_r1_churn_early"]), f"{_files(tables)}/mart")
+    recent = F.abs(F.unix_seconds(F.current_timestamp()) - F.unix_seconds(MART_LOADED_AT)) < 86400
+    return stored.withColumn("loaded_today", recent).drop(MART_LOADED_AT)
+
+
+def clustered_items(tables: Warehouse) -> DataFrame:
+    """Order items as they are stored, and whether the days of their file overlap with those of another by more than a day."""
+    stored = replace_table(clustered_by_day(tables["order_item"]), f"{_files(tables)}/order_item")
+    files = stored.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.min("order_date").alias("low"), F.max("order_date").alias("high"))
+    # One row per file.
+    in_order = Window.orderBy("low", "high")
+    files = files.select("file", (F.lag("high").over(in_order) > F.col("low")).alias("overlaps"))
+    named = stored.select("*", F.col("_metadata.file_name").alias("file")).join(F.broadcast(files), "file").drop("file")
+    return named.withColumn("overlaps", F.coalesce("overlaps", F.lit(False)))
+
+
+def queried_views(tables: Warehouse) -> DataFrame:
+    """Two views, joined in SQL."""
+    tables.create_views()
+    return tables.spark.sql(
+        "SELECT c.region, s.contract_type, count(*) AS contracts, count(DISTINCT c.customer_id) AS customers"
+        " FROM int_customer_clean c JOIN int_subscription_clean s USING (customer_id) GROUP BY c.region, s.contract_type"
+    )
+
+
 OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_date_of_invoices": dim_date_of_invoices,
     "dq_not_null": dq_not_null,
@@ -178,6 +351,18 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "incremental_slice": incremental_rows,
     "upsert": upserted,
     "upsert_files": upserted_files,
+    "dq_suite": dq_suite,
+    "text_dates": text_dates,
+    "sync_columns_files": synced_columns,
+    "snapshot_files": snapshot_files,
+    "lookback_files": lookback_files,
+    "deletes_tombstone": tombstones,
+    "deletes_tombstone_files": tombstones_in_fact,
+    "friction_by_changes": friction_by_changes,
+    "contracts_by_changes": contracts_by_changes,
+    "mart_r1_loaded": loaded_mart,
+    "order_item_clustered": clustered_items,
+    "views": queried_views,
 }
 
 

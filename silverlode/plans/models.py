@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from silverlode.operators.checks import Check
 from silverlode.plans import analytic, bronze, dimensions, facts, marts
 from silverlode.plans.silver.billing import clean_billing
 from silverlode.plans.silver.churn import clean_churn
@@ -150,6 +151,8 @@ class Warehouse:
         self.spark = spark
         self.as_of = as_of
         self.deletes = deletes
+        # Failures of checks that were counted while a stored table was written.
+        self.counted: dict[Check, int] = {}
         self._raw = raw
         self._tables: dict[str, DataFrame] = dict(stored or {})
 

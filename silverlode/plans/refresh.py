@@ -8,10 +8,13 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silverlode.functions.keys import surrogate_key
 from silverlode.operators import checks
 from silverlode.operators.incremental import changed_versions, incremental_slice
+from silverlode.operators.latest import latest_version
 from silverlode.operators.merge import MergeTable, read_table, table_exists, table_mark, upsert
-from silverlode.operators.storage import write_and_read
+from silverlode.operators.storage import delete_path, scratch_path, write_and_read
+from silverlode.operators.versioned import replace_table
 from silverlode.plans.models import (
     CALENDAR,
     DIMENSIONS,
@@ -21,6 +24,7 @@ from silverlode.plans.models import (
     SILVER,
     Warehouse,
 )
+from silverlode.plans.silver.common import DELETED_AT, RECORDS, RESTORE, TOMBSTONE
 from silverlode.plans.suite import CHECKS
 from silverlode.session import warn_unless_configured
 
@@ -87,30 +91,49 @@ def load_changes(
     as_of: dt.date | None = None,
     stored: Mapping[str, DataFrame] | None = None,
     lookback: dt.timedelta = dt.timedelta(0),
+    deletes: str = RESTORE,
 ) -> None:
     """Merge what is new, cleaning only the raw rows that came since the last load.
 
     The fact ends up as if all of its silver table had been built and sliced,
     but the history is not read. ``stored`` holds the tables it is joined with.
+    With ``deletes="tombstone"`` records whose newest version is a deletion leave the fact.
     """
+    source = FACT_SOURCES[name]
     exists = table_exists(spark, table)
     mark = table_mark(spark, table)
 
-    def newer(source: str) -> DataFrame:
-        rows = raw(source)
-        return changed_versions(rows, mark, lookback) if source == FACT_SOURCES[name] else rows
+    def newer(wanted: str) -> DataFrame:
+        rows = raw(wanted)
+        return changed_versions(rows, mark, lookback) if wanted == source else rows
 
-    rows = Warehouse(spark, newer, as_of, stored)[name]
-    upsert(spark, table, incremental_slice(rows, mark, lookback=lookback) if exists else rows)
+    rows = Warehouse(spark, newer, as_of, stored, deletes)[name]
+    rows = incremental_slice(rows, mark, lookback=lookback) if exists else rows
+    if deletes == RESTORE or not RECORDS[source].deletable or not exists:
+        upsert(spark, table, rows)
+        return
+    folder = scratch_path(spark, f"{table.path}.gone")
+    try:
+        upsert(spark, table, rows, gone=write_and_read(deleted_keys(newer(source), source, table.key), folder))
+    finally:
+        delete_path(spark, folder)
 
 
-def write_order_item(order_item: DataFrame, path: str) -> None:
-    """Clustered by order date, so a range of dates reads few files.
+def deleted_keys(raw: DataFrame, source: str, key: str) -> DataFrame:
+    """Keys of the records whose newest version is a deletion."""
+    records = RECORDS[source]
+    newest = latest_version(raw.filter(records.eligible(TOMBSTONE)), *records.ids)
+    ids = [F.trim(F.col(i)) for i in records.ids]
+    return newest.filter(F.col(DELETED_AT).isNotNull()).select(surrogate_key(*ids).alias(key))
+
+
+def clustered_by_day(order_item: DataFrame) -> DataFrame:
+    """In the order of days, so a range of dates reads few files.
 
     The key is part of the ranges: rows of one crowded day spread over many.
     """
     clustered = order_item.repartitionByRange("order_date", "order_key", "line_number")
-    clustered.sortWithinPartitions("order_date", "order_key", "line_number").write.mode("overwrite").parquet(path)
+    return clustered.sortWithinPartitions("order_date", "order_key", "line_number")
 
 
 def refresh(
@@ -124,14 +147,21 @@ def refresh(
 
     Silver is written once and read back, where plain views would clean the raw
     tables again for each of the tables built on them. Facts only merge what is
-    new; the monthly snapshot has no watermark and is merged whole.
+    new; the monthly snapshot has no watermark and is merged whole. Tables that are built anew get a new
+    version, so who reads the old one is not disturbed; while they are written, their checks of
+    single rows are counted (``Warehouse.counted``). ``plans.upkeep`` keeps silver, friction and
+    snapshot up without building them anew.
     """
     warn_unless_configured(spark)
     tables = Warehouse(spark, raw, as_of)
-    for name in SILVER:
-        tables.store(name, write_and_read(tables[name], f"{root}/{name}"))
-    for name in (CALENDAR, *DIMENSIONS):
-        tables.store(name, write_and_read(tables[name], f"{root}/{name}"))
+
+    def rebuild(name: str, rows: DataFrame) -> None:
+        watched, counts = checks.observed(rows, [c for c in CHECKS if c.model == name])
+        tables.store(name, replace_table(watched, f"{root}/{name}"))
+        tables.counted |= counts()
+
+    for name in (*SILVER, CALENDAR, *DIMENSIONS):
+        rebuild(name, tables[name])
     for name in FACTS:
         table = fact_table(root, name)
         if name == SNAPSHOT:
@@ -143,18 +173,19 @@ def refresh(
         stored = read_table(spark, table) if table_exists(spark, table) else spark.createDataFrame([], rows.schema)
         tables.store(name, stored)
     # Read by two marts.
-    tables.store(FRICTION, write_and_read(tables[FRICTION], f"{root}/{FRICTION}"))
+    rebuild(FRICTION, tables[FRICTION])
     for name in MARTS:
-        rows = tables[name].withColumn(MART_LOADED_AT, F.current_timestamp())
-        tables.store(name, write_and_read(rows, f"{root}/{name}"))
+        rebuild(name, loaded_now(tables[name]))
     if with_orders:
-        path = f"{root}/order_item"
-        write_order_item(tables["order_item"], path)
-        tables.store("order_item", spark.read.parquet(path))
+        rebuild("order_item", clustered_by_day(tables["order_item"]))
     return tables
 
 
+def loaded_now(mart: DataFrame) -> DataFrame:
+    return mart.withColumn(MART_LOADED_AT, F.current_timestamp())
+
+
 def check(tables: Warehouse, with_orders: bool = False) -> DataFrame:
-    """Failures of every check of the models."""
+    """Failures of every check of the models; those counted while a table was written cost no second scan."""
     wanted = [c for c in CHECKS if with_orders or c.model not in ORDER_MART]
-    return checks.run_suite({c.model: tables[c.model] for c in wanted}, wanted)
+    return checks.run_suite({c.model: tables[c.model] for c in wanted}, wanted, tables.counted)

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 from typing import NamedTuple
 
@@ -170,16 +170,29 @@ class Upkeep:
                 if not after.isEmpty():
                     settle(self.spark, version_table(self.root, source), before, after)
             self._say(_MERGED, folder, as_of, last)
+        touched = [self._touched(folder, sources, as_of, last) for sources in (DOMAINS.values(), [CONTRACTS])]
         if stage <= _MERGED:
-            self._value_friction(folder, as_of, last)
-            self._value_snapshot(folder, as_of, last)
+            if touched[0]:
+                self._value_friction(folder, as_of, last)
+            if touched[1]:
+                self._value_snapshot(folder, as_of, last)
             self._say(_VALUED, folder, as_of, last)
         read = self.spark.read.parquet
-        upsert(self.spark, friction_table(self.root), read(f"{folder}/friction"), gone=read(f"{folder}/friction_gone"))
-        upsert(self.spark, fact_table(self.root, SNAPSHOT), read(f"{folder}/snapshot"))
+        if touched[0]:
+            upsert(self.spark, friction_table(self.root), read(f"{folder}/friction"), gone=read(f"{folder}/friction_gone"))
+        if touched[1]:
+            upsert(self.spark, fact_table(self.root, SNAPSHOT), read(f"{folder}/snapshot"))
         self._say(_DONE, folder, as_of, last)
         delete_path(self.spark, folder)
 
+    def _touched(self, folder: str, sources: Iterable[str], as_of: dt.date, last: dt.date | None) -> bool:
+        """Whether rows of one of the sources arrived, or the clock moved over stored ones."""
+        moved = last is not None and last < as_of
+        return any(
+            path_exists(self.spark, f"{folder}/{s}/before") or moved and table_exists(self.spark, version_table(self.root, s).rows)
+            for s in sources
+        )
+
     def _changes(self, folder: str, source: str) -> tuple[DataFrame, DataFrame]:
         """Records of a source before and after the load; none where nothing arrived."""
         read = self.spark.read.parquet
