@@ -5,9 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverlode.operators.storage import scratch_path, write_and_read
 
@@ -52,6 +56,38 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """The same rows with compressed texts (null stays null), for moves of whole documents between tasks."""
+    at = docs.columns.index("text")
+    fields = [T.StructField(f.name, T.BinaryType() if i == at else f.dataType) for i, f in enumerate(docs.schema)]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            texts = [None if t is None else compress(t.encode()) for t in batch.column(at).to_pylist()]
+            yield _with_column(batch, at, pa.array(texts, pa.binary()))
+
+    return docs.mapInArrow(pack, T.StructType(fields))
+
+
+def unpacked_texts(packed: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows of ``packed_texts`` as they were."""
+    at = schema.names.index("text")
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if t is None else zstandard.decompress(t).decode() for t in batch.column(at).to_pylist()]
+            yield _with_column(batch, at, pa.array(texts, pa.string()))
+
+    return packed.mapInArrow(unpack, schema)
+
+
+def _with_column(batch: pa.RecordBatch, at: int, column: pa.Array) -> pa.RecordBatch:
+    columns = list(batch.columns)
+    columns[at] = column
+    return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
