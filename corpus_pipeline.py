@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverlode.llm import decontaminate, minhash, packing, secrets, toxicity
-from silverlode.llm.common import ship_package, stored, table
+from silverlode.llm.common import packed_texts, ship_package, stored, table, unpacked_texts
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -34,12 +34,13 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     kept = stored(groups.filter("kept").select(F.col("doc_id").alias("kept_id")))
     repeated = kept.filter("kept_id IS NOT NULL").groupBy("kept_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     # All columns in one, so that no name of theirs meets those of the steps.
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    packed = packed_texts(docs)
+    rows = packed.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
     left = rows.join(kept.distinct(), F.col("row.doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
     if not repeated.isEmpty():
         same = Window.partitionBy("row.doc_id", F.xxhash64("row.text")).orderBy(F.monotonically_increasing_id())
         left = left.withColumn("place", F.row_number().over(same)).filter("place = 1 OR row.doc_id IS NULL")
-    return left.select("row.*")
+    return unpacked_texts(left.select("row.*"), docs.schema)
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
