@@ -26,18 +26,22 @@ ANCHOR = 150
 REACH = LENGTH - ANCHOR
 # Bytes of documents in a block, and of those that a task hashes at once.
 BLOCK_BYTES = 12_000_000
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 250_000
 
-# Parts of the model of anchors for each shuffle partition, so that a part is small next to a task's memory.
-PARTS_PER_PARTITION = 4
+# Bytes of documents whose anchors are one part, so that a part is small next to a task's memory at every size.
+PART_BYTES = 2_000_000
+# Contexts that one task puts in suffix order, and contexts of one anchor from which they are dealt by whole strings.
+SHARD_CONTEXTS = 10_000
+HOT_CONTEXTS = 5_000
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 _TABLE = mixed(np.arange(1, 257, dtype=np.uint64))
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-# What becomes of a context: seen once and to be compared, seen several times and to be compared by this block, or decided.
-COMPARE, REPEATED_COMPARE, REPEATED, ALONE = 0, 1, 2, 3
+# What becomes of a context: seen once and to be compared, seen several times and to be compared by this block, or decided;
+# and the first two for contexts of a hot anchor.
+COMPARE, REPEATED_COMPARE, REPEATED, ALONE, SPLIT, REPEATED_SPLIT = range(6)
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -99,6 +103,19 @@ def anchors(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[
     return at, np.stack([lo, hi], axis=1), np.concatenate(own), context
 
 
+def _anchors_of_long(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``anchors`` of one document in pieces, each with all bytes that decide its own places."""
+    pieces = []
+    for first in range(0, max(len(data), 1), CHUNK_BYTES):
+        base = max(first - REACH, 0)
+        end = min(first + CHUNK_BYTES, len(data))
+        piece = data[base : end + LENGTH]
+        at, bounds, own, context = anchors(piece, np.zeros(1, np.int64), np.array([len(piece)]))
+        inside = (at + base >= first) & (at + base < end)
+        pieces.append((at[inside] + base, bounds[inside] + base, own[inside], context[inside]))
+    return tuple(np.concatenate(x) for x in zip(*pieces))
+
+
 class Block:
     """Documents laid end to end, with their anchors grouped by context and dealt to parts."""
 
@@ -112,10 +129,15 @@ class Block:
         at = 0
         while at < len(self.lengths):
             end = int(np.searchsorted(self.starts, self.starts[at] + CHUNK_BYTES))
-            end = max(end, at + 1)
+            # A document that does not fit in a chunk is one of its own.
+            end = max(end - (end > at + 1 and self.starts[end - 1] + self.lengths[end - 1] > self.starts[at] + CHUNK_BYTES), at + 1)
             base = self.starts[at]
             part = slice(at, end)
-            found = anchors(self.data[base : base + self.lengths[part].sum()], self.starts[part] - base, self.lengths[part])
+            data = self.data[base : base + self.lengths[part].sum()]
+            if end == at + 1:
+                found = _anchors_of_long(data)
+            else:
+                found = anchors(data, self.starts[part] - base, self.lengths[part])
             pieces.append((found[0] + base, found[1] + base, found[2], found[3]))
             at = end
         self.at, self.bounds, own, context = (np.concatenate(x) for x in zip(*pieces))
@@ -132,8 +154,45 @@ class Block:
         cuts = np.searchsorted(part_of, np.arange(parts + 1))
         self.slices = [slice(cuts[p], cuts[p + 1]) for p in range(parts)]
 
-    def compared(self, fates: np.ndarray) -> np.ndarray:
-        return np.flatnonzero((fates == COMPARE) | (fates == REPEATED_COMPARE))
+    def shards(self, fates: np.ndarray, shares: dict[int, int]) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Part, shard and contexts that are put in suffix order there, part by part."""
+        for part, where in enumerate(self.slices):
+            own = where.start + np.flatnonzero((fates[where] == COMPARE) | (fates[where] == REPEATED_COMPARE))
+            if len(own):
+                shard = (self.own[own] & np.uint64(0xFFFFFFFF)) % np.uint64(shares[part])
+                order = np.argsort(shard, kind="stable")
+                cuts = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0))
+                for chosen in np.split(own[order], cuts[1:]):
+                    yield part, int(shard[np.searchsorted(own, chosen[0])]), chosen
+
+    def strings(self, fates: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Strings around hot anchors: their different digests in order, how often each stands here, and of each string its context, start before the anchor and digest.
+
+        The start is part of the digest: a string found by two anchors is one place for each of them.
+        """
+        contexts, back, digests = [], [], []
+        for c in np.flatnonzero((fates == SPLIT) | (fates == REPEATED_SPLIT)).tolist():
+            at, (low, high) = int(self.at[self.sample[c]]), self.bounds[self.sample[c]].tolist()
+            text = self.data[low:high].tobytes()
+            for k in range(max(0, LENGTH - (high - at)), min(at - low, REACH) + 1):
+                begin = at - k - low
+                digests.append(xxhash.xxh3_128_digest(text[begin : begin + LENGTH], seed=k))
+                contexts.append(c)
+                back.append(k)
+        keys = np.frombuffer(b"".join(digests), ">u8").astype(np.uint64).reshape(-1, 2)
+        order, new = _in_order(keys)
+        which = np.empty(len(keys), np.int64)
+        which[order] = np.cumsum(new) - 1
+        times = np.bincount(which, minlength=int(new.sum()))
+        return keys[order[new]], times, np.array(contexts, np.int64), np.array(back, np.uint64), which
+
+
+def _in_order(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of keys of two numbers, and where in that order a new one begins."""
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[order][1:] != keys[order][:-1]).any(axis=1)
+    return order, new
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,9 +204,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def row() -> pa.RecordBatch:
         lengths = np.array([len(t) for t in texts], np.int64)
-        values = [[number], [ids], [_packed(lengths)], [zstandard.ZstdCompressor(level=3).compress(b"".join(texts))]]
-        kinds = [pa.int64(), pa.list_(id_type), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=["block", "doc_ids", "lengths", "data"])
+        values = [[number], [ids], [_packed(lengths)], [zstandard.ZstdCompressor(level=3).compress(b"".join(texts))], [size]]
+        kinds = [pa.int64(), pa.list_(id_type), pa.binary(), pa.binary(), pa.int64()]
+        names = ["block", "doc_ids", "lengths", "data", "size"]
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
 
     for batch in batches:
         id_type = batch.column(0).type
@@ -167,68 +227,97 @@ def _context_requests(parts: int):
         for rows in batches:
             for _, row in rows.iterrows():
                 block = Block(row, parts)
+                filled = [(part, s) for part, s in enumerate(block.slices) if s.stop > s.start]
                 yield pd.DataFrame(
                     {
-                        "part": np.arange(parts, dtype=np.int32),
+                        "part": np.array([part for part, _ in filled], np.int32),
                         "block": block.number,
-                        "own": [_packed(np.diff(block.own[s], prepend=np.uint64(0))) for s in block.slices],
-                        "context": [_packed(block.context[s]) for s in block.slices],
-                        "times": [_packed(np.minimum(block.times[s], 2).astype(np.uint8)) for s in block.slices],
+                        "own": [_packed(np.diff(block.own[s], prepend=np.uint64(0))) for _, s in filled],
+                        "context": [_packed(block.context[s]) for _, s in filled],
+                        "times": [_packed(np.minimum(block.times[s], 2).astype(np.uint8)) for _, s in filled],
                     }
                 )
 
     return run
 
 
-def _judge_contexts(rows: pd.DataFrame) -> pd.DataFrame:
-    """Whether each context occurs elsewhere, and whether its anchor stands in other contexts too."""
-    own = [np.cumsum(_unpacked(o, np.uint64), dtype=np.uint64) for o in rows["own"]]
-    ends = np.cumsum([len(o) for o in own])
-    anchor = np.concatenate(own)
-    context = np.concatenate([_unpacked(c, np.uint64) for c in rows["context"]])
-    times = np.concatenate([_unpacked(t, np.uint8) for t in rows["times"]]).astype(np.int64)
-    order = np.lexsort((context, anchor))
-    anchor, context, times = anchor[order], context[order], times[order]
-    new_anchor = np.append(True, anchor[1:] != anchor[:-1])[: len(order)]
-    new = new_anchor | np.append(True, context[1:] != context[:-1])[: len(order)]
-    group = np.cumsum(new) - 1
-    count = np.bincount(group, times) if len(order) else np.zeros(0)
-    several = np.bincount(np.cumsum(new_anchor) - 1, new)[np.cumsum(new_anchor) - 1] > 1 if len(order) else np.zeros(0, bool)
-    again = count[group] > 1 if len(order) else np.zeros(0, bool)
-    sorted_fates = np.where(again, np.where(several & new, REPEATED_COMPARE, REPEATED), np.where(several, COMPARE, ALONE))
-    fates = np.empty(len(order), np.uint8)
-    fates[order] = sorted_fates
-    answers = [_packed(fates[e - len(o) : e]) for o, e in zip(own, ends)]
-    return pd.DataFrame({"block": rows["block"].to_numpy(), "part": int(rows["part"].iloc[0]), "kind": "fates", "answer": answers})
+def _judge_contexts(hot: int, shard: int):
+    """Whether each context occurs elsewhere, and whether its anchor stands in other contexts too, or in very many."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        own = [np.cumsum(_unpacked(o, np.uint64), dtype=np.uint64) for o in rows["own"]]
+        ends = np.cumsum([len(o) for o in own])
+        anchor = np.concatenate(own)
+        context = np.concatenate([_unpacked(c, np.uint64) for c in rows["context"]])
+        times = np.concatenate([_unpacked(t, np.uint8) for t in rows["times"]])
+        order = np.lexsort((context, anchor))
+        anchor, context, times = anchor[order], context[order], times[order]
+        new_anchor = np.append(True, anchor[1:] != anchor[:-1])
+        new = new_anchor | np.append(True, context[1:] != context[:-1])
+        group = np.cumsum(new) - 1
+        again = np.bincount(group, times)[group] > 1
+        anchor_group = np.cumsum(new_anchor) - 1
+        different = np.bincount(anchor_group, new)[anchor_group]
+        chosen = np.where(different > hot, SPLIT, COMPARE)
+        once = np.where(different > 1, chosen, ALONE)
+        fates = np.empty(len(order), np.uint8)
+        fates[order] = np.where(again, np.where((different > 1) & new, chosen + 1, REPEATED), once)
+        share = int(((fates == COMPARE) | (fates == REPEATED_COMPARE)).sum()) // shard + 1
+        return pd.DataFrame(
+            {
+                "block": rows["block"].to_numpy(),
+                "part": int(rows["part"].iloc[0]),
+                "shard": share,
+                "kind": "fates",
+                "answer": [_packed(fates[e - len(o) : e]) for o, e in zip(own, ends)],
+            }
+        )
+
+    return run
 
 
 def _answers(answers: pd.DataFrame, kind: str, dtype) -> np.ndarray:
-    own = answers[answers["kind"] == kind].sort_values("part")
+    own = answers[answers["kind"] == kind].sort_values(["part", "shard"])
     return np.concatenate([_unpacked(a, dtype) for a in own["answer"]] or [np.zeros(0, dtype)])
 
 
+def _fates(answers: pd.DataFrame) -> tuple[np.ndarray, dict[int, int]]:
+    """Fates of the contexts of a block, and the number of shards of each of its parts."""
+    own = answers[answers["kind"] == "fates"]
+    return _answers(answers, "fates", np.uint8), dict(zip(own["part"].tolist(), own["shard"].tolist()))
+
+
 def _comparison_requests(parts: int):
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = Block(blocks.iloc[0], parts)
-        fates = _answers(answers, "fates", np.uint8)
+        fates, shares = _fates(answers)
         rows = []
-        for part, where in enumerate(block.slices):
-            chosen = block.sample[where][block.compared(fates[where])]
+        for part, shard, contexts in block.shards(fates, shares):
+            chosen = block.sample[contexts]
             low, at, high = block.bounds[chosen, 0], block.at[chosen], block.bounds[chosen, 1]
             pieces = [block.data[a:b] for a, b in zip(low, at)] + [block.data[a + ANCHOR : b] for a, b in zip(at, high)]
             second = np.fromiter((xxhash.xxh3_64_intdigest(block.data[a : a + ANCHOR].tobytes()) for a in at), np.uint64, len(at))
             rows.append(
                 (
+                    "masks",
                     part,
+                    shard,
                     block.number,
-                    _packed(block.own[where][block.compared(fates[where])]),
+                    _packed(block.own[contexts]),
                     _packed(second),
                     _packed((at - low).astype(np.uint8)),
                     _packed((high - at - ANCHOR).astype(np.uint8)),
-                    _packed(np.concatenate(pieces) if pieces else np.zeros(0, np.uint8)),
+                    _packed(np.concatenate(pieces)),
                 )
             )
-        return pd.DataFrame(rows, columns=["part", "block", "own", "second", "before", "after", "data"])
+        keys, times, *_ = block.strings(fates)
+        part_of = ((keys[:, 0] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        cuts = np.flatnonzero(np.append(True, np.diff(part_of) != 0)) if len(keys) else np.zeros(0, np.int64)
+        for begin, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)]):
+            counts = _packed(np.minimum(times[begin:end], 2).astype(np.uint8))
+            part = int(part_of[begin])
+            rows.append(("strings", part, 0, block.number, _packed(keys[begin:end, 0]), _packed(keys[begin:end, 1]), counts, None, None))
+        return pd.DataFrame(rows, columns=["kind", "part", "shard", "block", "own", "second", "before", "after", "data"])
 
     return run
 
@@ -284,7 +373,27 @@ def _starts_of_repeats(anchor: np.ndarray, before: np.ndarray, after: np.ndarray
     return masks
 
 
-def _compare_contexts(rows: pd.DataFrame) -> pd.DataFrame:
+def _compare(rows: pd.DataFrame) -> pd.DataFrame:
+    """Which strings of a shard repeat: contexts by suffix order, strings of hot anchors by their digests."""
+    kind = rows["kind"].iloc[0]
+    ends, found = (_compare_contexts if kind == "masks" else _compare_strings)(rows)
+    answers = [_packed(part) for part in np.split(found, ends[:-1])]
+    place = {"part": int(rows["part"].iloc[0]), "shard": int(rows["shard"].iloc[0])}
+    return pd.DataFrame({"block": rows["block"].to_numpy(), **place, "kind": kind, "answer": answers})
+
+
+def _compare_strings(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    first = [_unpacked(o, np.uint64) for o in rows["own"]]
+    keys = np.stack([np.concatenate(first), np.concatenate([_unpacked(s, np.uint64) for s in rows["second"]])], axis=1)
+    times = np.concatenate([_unpacked(t, np.uint8) for t in rows["before"]])
+    order, new = _in_order(keys)
+    group = np.cumsum(new) - 1
+    again = np.empty(len(keys), np.uint8)
+    again[order] = np.bincount(group, times[order])[group] > 1
+    return np.cumsum([len(o) for o in first]), again
+
+
+def _compare_contexts(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     own = [_unpacked(o, np.uint64) for o in rows["own"]]
     before = [_unpacked(b, np.uint8).astype(np.int64) for b in rows["before"]]
     after = [_unpacked(a, np.uint8).astype(np.int64) for a in rows["after"]]
@@ -295,18 +404,22 @@ def _compare_contexts(rows: pd.DataFrame) -> pd.DataFrame:
     lefts = [d[: b.sum()] for d, b in zip(data, before)]
     rights = [d[b.sum() :] for d, b in zip(data, before)]
     masks = _starts_of_repeats(anchor, np.concatenate(before), np.concatenate(after), np.concatenate([*lefts, *rights]))
-    ends = np.cumsum([len(o) for o in own])
-    answers = [_packed(masks[e - len(o) : e]) for o, e in zip(own, ends)]
-    return pd.DataFrame({"block": rows["block"].to_numpy(), "part": int(rows["part"].iloc[0]), "kind": "masks", "answer": answers})
+    return np.cumsum([len(o) for o in own]), masks
 
 
 def _removals(parts: int, keep_texts: bool):
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = Block(blocks.iloc[0], parts)
-        fates = _answers(answers, "fates", np.uint8)
+        fates, shares = _fates(answers)
         masks = np.zeros(len(fates), np.uint64)
-        masks[block.compared(fates)] = _answers(answers, "masks", np.uint64)
-        edges = np.zeros(len(block.data) + 1, np.int64)
+        compared = [contexts for *_, contexts in block.shards(fates, shares)]
+        if compared:
+            masks[np.concatenate(compared)] = _answers(answers, "masks", np.uint64)
+        _, _, contexts, back, which = block.strings(fates)
+        again = _answers(answers, "strings", np.uint8)[which].astype(bool)
+        np.bitwise_or.at(masks, contexts[again], np.uint64(1) << back[again])
+        # A byte begins at most one string of each of REACH + 1 starts, so 16 bits hold what begins or ends at it.
+        edges = np.zeros(len(block.data) + 1, np.int16)
         of = fates[block.of_anchor]
         whole = (of == REPEATED) | (of == REPEATED_COMPARE)
         np.add.at(edges, block.bounds[whole, 0], 1)
@@ -316,7 +429,7 @@ def _removals(parts: int, keep_texts: bool):
             starts = block.at[partly[(masks[block.of_anchor[partly]] >> np.uint64(k)) & np.uint64(1) == 1]] - k
             np.add.at(edges, starts, 1)
             np.add.at(edges, starts + LENGTH, -1)
-        removed = np.cumsum(edges)[:-1] > 0
+        removed = np.cumsum(edges, dtype=np.int32)[:-1] > 0
         out = []
         for doc_id, start, length in zip(block.doc_ids, block.starts.tolist(), block.lengths.tolist()):
             gone = removed[start : start + length]
@@ -330,7 +443,9 @@ def _removals(parts: int, keep_texts: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, parts: int | None = None, keep_texts: bool = False) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, parts: int | None = None, keep_texts: bool = False, hot: int = HOT_CONTEXTS, shard: int = SHARD_CONTEXTS
+) -> DataFrame:
     """Per row of ``docs`` what is left of its UTF-8 bytes without those that a repeated string of LENGTH bytes covers.
 
     A string is repeated where it also starts anywhere else, in another row or the
@@ -341,29 +456,35 @@ def remove_repeats(docs: DataFrame, parts: int | None = None, keep_texts: bool =
 
     Anchors tell where a repeated string can be. Of each anchor the context on both
     sides is counted by hash: equal contexts are repeated throughout. Only anchors
-    with several contexts go on, once per different context, to the shard of their
-    anchor, where the order of all suffixes decides exactly which strings repeat.
+    with several contexts go on, once per different context, to a shard of their
+    anchor (of about ``shard`` contexts), where the order of all suffixes decides
+    exactly which strings repeat. An anchor with more than ``hot`` contexts is no
+    group: its strings are counted by digests of all their bytes, per block first.
     Blocks of documents stay in a bucketed table, which is dropped at the end.
     """
     spark = docs.sparkSession
-    parts = parts or PARTS_PER_PARTITION * shuffle_partitions(spark)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     name = f"repeat_blocks_{uuid.uuid4().hex}"
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    schema = f"block long, doc_ids array<{id_type}>, lengths binary, data binary"
+    schema = f"block long, doc_ids array<{id_type}>, lengths binary, data binary, size long"
     rows.mapInArrow(_blocks, schema).write.bucketBy(shuffle_partitions(spark), "block").saveAsTable(name)
     try:
         blocks = spark.table(name)
-        answer = "block long, part int, kind string, answer binary"
+        if parts is None:
+            size = blocks.agg(F.sum("size")).first()[0] or 0
+            parts = max(shuffle_partitions(spark), size // PART_BYTES)
+        blocks = blocks.drop("size")
+        answer = "block long, part int, shard int, kind string, answer binary"
         asked = blocks.mapInPandas(_context_requests(parts), "part int, block long, own binary, context binary, times binary")
-        fates = stored(asked.groupBy("part").applyInPandas(_judge_contexts, answer))
+        fates = stored(asked.groupBy("part").applyInPandas(_judge_contexts(hot, shard), answer))
         asked = blocks.groupBy("block").cogroup(fates.groupBy("block")).applyInPandas(
-            _comparison_requests(parts), "part int, block long, own binary, second binary, before binary, after binary, data binary"
+            _comparison_requests(parts),
+            "kind string, part int, shard int, block long, own binary, second binary, before binary, after binary, data binary",
         )
-        masks = stored(asked.groupBy("part").applyInPandas(_compare_contexts, answer))
+        compared = stored(asked.groupBy("kind", "part", "shard").applyInPandas(_compare, answer))
         result = f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
         result += ", kept binary" if keep_texts else ""
-        told = fates.unionByName(masks)
+        told = fates.unionByName(compared)
         return stored(blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(_removals(parts, keep_texts), result))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -263,13 +263,24 @@ def test_repeats_equal_a_plain_count_of_all_strings(spark):
     # Matches do not cross from one document to the next.
     rows += [(107, passages[8][:150]), (108, passages[8][150:340]), (109, "0" * 199), (110, "0" * 199)]
     want = sorted(plain_removal(rows), key=str)
-    for parts in (1, 5):
-        got = repeats.remove_repeats(table(spark, rows), parts=parts, keep_texts=True).collect()
+    # As they come, in many shards, with every anchor of several contexts hot, and with both kinds.
+    for parts, hot, shard in ((1, 5000, 10_000), (None, 5000, 3), (5, 1, 10_000), (3, 20, 7)):
+        got = repeats.remove_repeats(table(spark, rows), parts=parts, keep_texts=True, hot=hot, shard=shard).collect()
         assert sorted((tuple(r)[:5] for r in got), key=str) == want
         assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
     assert repeats.remove_repeats(table(spark, rows).filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("size", [0, 150, 200, 999, 1000, 1001, 7777])
+def test_long_documents_have_the_same_anchors_in_pieces(monkeypatch, size):
+    data = np.random.default_rng(size).integers(97, 100, size).astype(np.uint8)
+    data[size // 2 : size // 2 + 600] = 97
+    whole = repeats.anchors(data, np.zeros(1, np.int64), np.array([size]))
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 500)
+    for a, b in zip(whole, repeats._anchors_of_long(data)):
+        assert a.tolist() == b.tolist()
+
+
 def test_suffixes_are_ordered_also_with_queues_on_disk(monkeypatch):
     rng = np.random.default_rng(0)
     monkeypatch.setattr(induced, "IN_MEMORY", 64)
