@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from silverlode.functions import dates, text
 from silverlode.operators.latest import latest_per_key
+from silverlode.operators.skew import join_apart
 
 # Fixed values.
 EARLY_MONTHS = 12
@@ -23,12 +24,16 @@ LABEL_DAYS = 90
 
 
 def _contracts_with_churn(customer: DataFrame, subscription: DataFrame, churn: DataFrame) -> DataFrame:
-    """One row per contract of a known customer, with the churn of that customer."""
+    """One row per contract of a known customer, with the churn of that customer.
+
+    Customers meet their churn first: both are one row per customer. Contracts, of
+    which one customer may hold very many, are then in one join only.
+    """
     profile = customer.select("customer_id", "region", "customer_segment", "gender", "age")
     events = churn.select(
         "customer_id", "churn_date", "churn_reason", "tenure_months_at_end", F.lit(1).alias("churned")
     )
-    return subscription.join(profile, "customer_id").join(events, "customer_id", "left")
+    return join_apart(subscription, profile.join(events, "customer_id", "left"), "customer_id")
 
 
 def early_churn(

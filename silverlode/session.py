@@ -9,11 +9,10 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     # Dates and timestamps mean the same on every machine.
     "spark.sql.session.timeZone": "UTC",
-    # Split a hot key of a join at run time, also where a later step then has
-    # to shuffle again.
+    # Split a hot key of a join at run time. No join with a hot key shares its
+    # exchange with a later step, so nothing has to be forced.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Split and fill up the files of a month by size.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -171,6 +172,8 @@ def small_skew(spark):
     """Adaptive settings under which a few thousand rows are a skewed partition."""
     wanted = {
         **SETTINGS,
+        # As in any session: the library does not ask for more.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
@@ -260,6 +263,42 @@ def test_hot_customer_of_contracts_is_split(spark, small_skew):
     assert df.count() == 30000
 
 
+def test_hot_contract_and_customer_of_invoices_are_split(spark, small_skew):
+    """Both joins of the billing fact, one after the other."""
+    labels = "account_id billing_period invoice_status currency".split()
+    amounts = "base_charge service_charge equipment_charge extra_usage_charge tax discount total_amount_source total_amount_recalculated".split()
+    changes = "amount_variance previous_month_amount amount_change amount_change_pct".split()
+    invoices = hot_ids(spark, 30000).select(
+        "customer_id",
+        F.concat(F.lit("S"), "customer_id").alias("subscription_id"),
+        # Text that does not compress, so that rows tell the sizes of partitions.
+        F.md5(F.col("id").cast("string")).alias("invoice_id"),
+        *[F.lit("x").alias(n) for n in labels],
+        *[F.lit(D(2024, 1, 1)).alias(n) for n in ("issue_date", "due_date")],
+        *[F.lit(Decimal("1.00")).alias(n) for n in amounts + changes],
+        *[F.lit(True).alias(n) for n in ("dq_valid_dates", "dq_nonnegative_total", "dq_total_match")],
+        *[F.lit(None).cast("string").alias(n) for n in facts.ORIGIN],
+    )
+    people = known_customers(spark)
+    plans = people.select(F.concat(F.lit("S"), "customer_id").alias("subscription_id"), F.lit("P").alias("plan_name"), F.lit("T").alias("plan_tier"))
+    df = facts.fact_billing(invoices, plans, people)
+    assert run_and_explain(df).count("skew=true") == 2
+    assert df.count() == 30000
+
+
+def test_contracts_meet_customers_and_churn_as_in_plain_python(spark):
+    rng = random.Random(7)
+    ids = [None, *"ABCDEF"]
+    known = [i for i in ids[1:] if i != "F"]
+    left = [(rng.choice(ids), n) for n in range(60)]
+    contracts = spark.createDataFrame(left, "customer_id string, subscription_id long")
+    people = spark.createDataFrame([(i, "R", "S", "MALE", 40) for i in known], "customer_id string, region string, customer_segment string, gender string, age int")
+    gone = spark.createDataFrame([(i, D(2024, 1, 1), "PRICE", 3) for i in "ACF"], "customer_id string, churn_date date, churn_reason string, tenure_months_at_end int")
+    got = analytic._contracts_with_churn(people, contracts, gone).select("subscription_id", "customer_id", "churned").collect()
+    want = [(n, i, 1 if i in ("A", "C") else None) for i, n in left if i in known]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_invoice_named_by_a_third_of_payments_is_summed_before_the_join(spark, small_skew):
     paid = spark.range(0, 30000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, "I0").otherwise(F.concat(F.lit("I"), "id")).alias("invoice_id"),
