@@ -20,6 +20,8 @@ MIN_SHARE = 0.01
 # Single paragraphs, items and rows may repeat as content: only long ones count, on a larger share of the pages.
 LONG_PLAIN = 100
 MIN_SHARE_PLAIN = 0.25
+# So may lists and tables of an article.
+MIN_SHARE_LISTS = 0.1
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,7 +47,7 @@ IMPLIED = {
 # What is never part of an article.
 DROPPED = frozenset(
     "head script style noscript template nav footer aside form button input select textarea option iframe object embed canvas svg"
-    " math audio video dialog menu title noembed noframes datalist search".split()
+    " audio video dialog menu title noembed noframes datalist search".split()
 )
 # Of these the form alone may wrap a whole page, as may boxes by their names.
 NO_TEXT = DROPPED - {"form"}
@@ -56,14 +58,19 @@ DROPPED_ROLES = frozenset(
 DROPPED_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsored sponsor promo promotion promoted banner nav navbar navigation menu"
     " topbar header masthead footer sidebar aside widget widgets cookie cookies consent gdpr notice notices notification disclaimer"
-    " popup modal overlay newsletter subscribe subscription signup login comment comments disqus respond reply replies discussion"
+    " popup modal overlay newsletter subscribe subscription signup login comment comments disqus respond reply replies"
     " share sharing social related recommended recommendations breadcrumb breadcrumbs pagination pager toc skip search copyright".split()
 )
+# Of longer names these decide where they come first or last, unless the name only says whether there is such a part.
+STRONG_NAMES = frozenset("ad ads advert adverts comment comments cookie cookies footer nav newsletter sidebar".split())
+STATES = frozenset("has no not with without hide show".split())
+# A quote opens a value behind an equals sign only; one that never closes is a character like others.
 MARKUP = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.S
+    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)>", re.S
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"']+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 NAME_PART = re.compile(r"[a-z]+")
+NAME_WORD = re.compile(r"[a-z0-9]+")
 SPACE = re.compile(r"\s+")
 
 
@@ -207,6 +214,7 @@ def _outermost(root: Node, wanted: Callable[[Node], bool]) -> list[Node]:
 
 # Their repeated text may well be content; the page itself is no part of a page.
 PLAIN = HEADINGS | frozenset("p li dt dd td th tr caption pre blockquote figcaption summary".split())
+LISTS = frozenset("ul ol dl table".split())
 WHOLE = frozenset("html body head".split())
 
 
@@ -216,6 +224,13 @@ def _may_be_template(node: Node) -> bool:
     return node.tag in BLOCKS and node.tag not in WHOLE
 
 
+def _least_share(node: Node, inside: bool) -> float:
+    """Share of the pages of a host on which a template of this kind stands at least; ``inside`` an article."""
+    if node.tag in PLAIN:
+        return MIN_SHARE_PLAIN
+    return MIN_SHARE_LISTS if inside and node.tag in LISTS else MIN_SHARE
+
+
 def containers(root: Node) -> list[tuple[Node, int]]:
     """Subtrees that may be templates, each with the digest of what it is a part of: its article, or else the page.
 
@@ -264,9 +279,12 @@ def _unwanted(node: Node, inside: bool) -> bool:
 
 
 def _dropped_name(token: str) -> bool:
-    """True for a class or id that consists of listed words only: ``cookie-banner``, but not ``no-sidebar``."""
+    """True for a class or id of listed words only, or with a strong one first or last: ``user-comments``, but not ``no-sidebar``."""
     parts = NAME_PART.findall(token)
-    return bool(parts) and DROPPED_NAMES.issuperset(parts)
+    if not parts or not STATES.isdisjoint(parts):
+        return False
+    words = NAME_WORD.findall(token)
+    return DROPPED_NAMES.issuperset(parts) or not STRONG_NAMES.isdisjoint((words[0], words[-1]))
 
 
 def blocks(root: Node, templates: frozenset[int]) -> list[str]:
@@ -315,18 +333,18 @@ def blocks(root: Node, templates: frozenset[int]) -> list[str]:
 
 def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        owner, digests, plain, pages = [], [], [], []
+        owner, digests, shares, pages = [], [], [], []
         for row, page in enumerate(batch.column(1).to_pylist()):
             root = parse(page or "")
             hash_subtrees(root)
-            found = {(n.digest, n.tag in PLAIN, whole) for n, whole in containers(root)}
+            found = {(n.digest, _least_share(n, whole != root.digest), whole) for n, whole in containers(root)}
             owner += [row] * len(found)
             digests += [d - 2**63 for d, _, _ in found]
-            plain += [p for _, p, _ in found]
+            shares += [s for _, s, _ in found]
             pages += [whole - 2**63 for _, _, whole in found]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(owner, pa.int32())), pa.array(digests, pa.int64()), pa.array(plain, pa.bool_()), pa.array(pages, pa.int64())],
-            names=["host", "subtree", "plain", "page"],
+            [batch.column(0).take(pa.array(owner, pa.int32())), pa.array(digests, pa.int64()), pa.array(shares, pa.float64()), pa.array(pages, pa.int64())],
+            names=["host", "subtree", "share", "page"],
         )
 
 
@@ -340,15 +358,15 @@ def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
     """
     host = url_parts(F.col("url"))[0]
     seen = pages.select(host.alias("host"), F.col("html").cast("string").alias("html")).mapInArrow(
-        _subtree_rows, "host string, subtree long, plain boolean, page long"
+        _subtree_rows, "host string, subtree long, share double, page long"
     )
-    counts = seen.distinct().groupBy("host", "subtree", "plain").agg(F.count(F.lit(1)).alias("pages"))
+    counts = seen.distinct().groupBy("host", "subtree", "share").agg(F.count(F.lit(1)).alias("pages"))
     recurring = counts.filter(F.col("pages") >= min_pages)
     sizes = pages.select(host.alias("host"), F.xxhash64("html").alias("page")).distinct()
     sizes = sizes.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
     return (
         recurring.join(sizes, "host")
-        .filter(F.col("pages") >= F.col("all_pages") * F.when(F.col("plain"), max(MIN_SHARE_PLAIN, min_share)).otherwise(min_share))
+        .filter(F.col("pages") >= F.col("all_pages") * F.greatest("share", F.lit(min_share)))
         .groupBy("host")
         .agg(F.collect_set("subtree").alias("templates"))
     )

@@ -131,3 +131,50 @@ def test_names_and_cards_do_not_hide_the_text():
     }
     for source, wanted in cases.items():
         assert "\n".join(html_text.blocks(html_text.parse(source), frozenset())) == wanted, source
+
+
+def test_names_of_several_words_drop_by_their_first_or_last():
+    story = "<p>The text of the page that everyone came for, at some length.</p>"
+    text = "The text of the page that everyone came for, at some length."
+    gone = "user-comments post-comments comments-area comment-list ad-slot cookie-bar site-footer main-nav sidebar-left newsletter-box"
+    for name in gone.split():
+        for attribute in ("class", "id"):
+            source = page(f"<article>{story}<div {attribute}='{name}'>a word of someone else</div></article>")
+            assert "\n".join(html_text.blocks(html_text.parse(source), frozenset())) == text, name
+    for name in "discussion has-comments no-ads with-sidebar nav1gation x7ad related-work".split():
+        source = page(f"<article>{story}<section class='{name}'>more of it</section></article>")
+        assert "\n".join(html_text.blocks(html_text.parse(source), frozenset())) == text + "\nmore of it", name
+
+
+def test_formulas_stay_and_stray_quotes_are_no_text():
+    cases = {
+        "<p>Energy <math><mi>E</mi></math> is</p>": "Energy E is",
+        "<p class=\"q>broken</p><p>next": "broken\nnext",
+        "<p class='q>broken</p><p>next": "broken\nnext",
+        "<p class=x\">one</p><p title=\"a > b\">two</p>": "one\ntwo",
+        "<p title = 'a > \"b'>three</p>": "three",
+        "<p \">four</p><p>it's \"five\"": "four\nit's \"five\"",
+    }
+    for source, text in cases.items():
+        assert "\n".join(html_text.blocks(html_text.parse(source), frozenset())) == text, source
+
+
+def test_templates_are_those_of_a_plain_count(spark):
+    """Boxes and lists at chosen shares of a host, against a count in plain Python."""
+    box, few, many = "<div class=q>our partner</div>", "<ul><li>salt</li><li>oil</li></ul>", "<table><tr><td>all rights</td></tr></table>"
+    shares = {box: 6, few: 7, many: 15}
+    rows = []
+    for i in range(100):
+        parts = "".join(piece for piece, n in shares.items() if i < n)
+        rows.append((i, f"http://a.com/{i}", page(f"<article><p>story {i}</p>{parts}</article>")))
+    got = {r.page_id: r.text for r in html_text.main_text(table_of(spark, rows), html_text.site_templates(table_of(spark, rows))).collect()}
+    counted = {piece: sum(piece in html for _, _, html in rows) for piece in shares}
+    # Boxes from five pages and 1 %, lists and tables of articles from 10 %.
+    templates = {p for p, n in counted.items() if n >= 5 and n >= len(rows) * (0.01 if p == box else 0.1)}
+    plain = {box: "our partner", few: "salt\noil", many: "all rights"}
+    for i, _, html in rows:
+        assert got[i] == "\n".join([f"story {i}", *[plain[p] for p in shares if p in html and p not in templates]])
+
+
+def table_of(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
