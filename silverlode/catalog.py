@@ -144,7 +144,8 @@ def _two_loads(tables: Warehouse) -> tuple[DataFrame, DataFrame]:
     """A usage fact as of a first load, and what a second load adds to it."""
     raw = tables["stg_service_usage"]
     first = raw.filter(F.col(EXTRACTED_AT) <= F.lit(FIRST_LOAD_UNTIL.isoformat(sep=" ")).cast("timestamp"))
-    target = fact_usage_snapshot(clean_usage(first, tables.as_of))
+    # Its mark and its rows are read: stored, it is not made twice.
+    target = write_and_read(fact_usage_snapshot(clean_usage(first, tables.as_of)), _files(tables))
     mark = high_water_mark(target)
     newer = clean_usage(changed_versions(raw, mark), tables.as_of)
     return target, incremental_slice(fact_usage_snapshot(newer), mark)

@@ -68,9 +68,9 @@ def contest(
     return before, after
 
 
-def settle(spark: SparkSession, table: VersionTable, before: DataFrame, after: DataFrame) -> None:
-    """Store the winners; doing it again changes nothing."""
-    upsert(spark, table.rows, after, old=before.select(BUCKET, MONTH))
+def settle(spark: SparkSession, table: VersionTable, before: DataFrame, after: DataFrame, folder: str) -> None:
+    """Store the winners that ``contest`` left below ``folder``; doing it again changes nothing."""
+    upsert(spark, table.rows, after, old=before.select(KEY, BUCKET, MONTH), stored=f"{folder}/after")
 
 
 def newest_rows(spark: SparkSession, table: VersionTable, like: DataFrame) -> DataFrame:

@@ -69,9 +69,13 @@ FACT_SOURCES = {
 }
 
 
+# Surrogate keys that facts hold besides their own.
+_DIGESTS = ("customer_key", "subscription_key", "plan_key", "region_key", "network_node_key", "agent_team_key", "campaign_key")
+
+
 def fact_table(root: str, name: str) -> MergeTable:
     key, date, options = _FACT_TABLES[name]
-    return MergeTable(f"{root}/{name}", key, date, **options)
+    return MergeTable(f"{root}/{name}", key, date, digests=(key, *_DIGESTS), **options)
 
 
 def load_fact(

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from silverlode.functions import dates, parsing
 from silverlode.functions.keys import row_fingerprint, surrogate_key
 from silverlode.operators.latest import NEWEST
-from silverlode.operators.merge import BUCKET, MONTH, MergeTable, month_of, read_table, rows_of_keys, table_exists, upsert
+from silverlode.operators.merge import BUCKET, MONTH, MergeTable, month_of, packed, read_table, rows_of_keys, table_exists, unpacked, upsert
 from silverlode.operators.storage import delete_path, path_exists, read_note, scratch_path, write_and_read, write_note
 from silverlode.operators.versions import DAY, KEY, LINK, VersionTable, contest, newest_rows, settle
 from silverlode.plans import analytic, facts
@@ -74,7 +74,7 @@ def version_table(root: str, source: str) -> VersionTable:
 
 
 def friction_table(root: str) -> MergeTable:
-    return MergeTable(f"{root}/friction_sums", _MONTH_KEY, "month_start", key_fixes_month=True)
+    return MergeTable(f"{root}/friction_sums", _MONTH_KEY, "month_start", key_fixes_month=True, digests=(_MONTH_KEY,))
 
 
 def _day(rows: DataFrame, source: str) -> Column:
@@ -168,7 +168,7 @@ class Upkeep:
             for source in RECORDS:
                 before, after = self._changes(folder, source)
                 if not after.isEmpty():
-                    settle(self.spark, version_table(self.root, source), before, after)
+                    settle(self.spark, version_table(self.root, source), before, after, f"{folder}/{source}")
             self._say(_MERGED, folder, as_of, last)
         touched = [self._touched(folder, sources, as_of, last) for sources in (DOMAINS.values(), [CONTRACTS])]
         if stage <= _MERGED:
@@ -179,9 +179,12 @@ class Upkeep:
             self._say(_VALUED, folder, as_of, last)
         read = self.spark.read.parquet
         if touched[0]:
-            upsert(self.spark, friction_table(self.root), read(f"{folder}/friction"), gone=read(f"{folder}/friction_gone"))
+            value = read(f"{folder}/friction_value")
+            gone = value.filter(F.col(_ROWS) <= 0).select(_MONTH_KEY)
+            kept = value.filter(F.col(_ROWS) > 0)
+            upsert(self.spark, friction_table(self.root), kept, gone=gone, stored=f"{folder}/friction_value")
         if touched[1]:
-            upsert(self.spark, fact_table(self.root, SNAPSHOT), read(f"{folder}/snapshot"))
+            upsert(self.spark, fact_table(self.root, SNAPSHOT), read(f"{folder}/snapshot"), stored=f"{folder}/snapshot")
         self._say(_DONE, folder, as_of, last)
         delete_path(self.spark, folder)
 
@@ -214,7 +217,7 @@ class Upkeep:
     # Friction by retraction
 
     def _value_friction(self, folder: str, as_of: dt.date, last: dt.date | None) -> None:
-        """New sums of the customer-months that changed or ripened records touch, and the keys of those that are empty now."""
+        """New sums of the customer-months that changed or ripened records touch; those without rows are empty now."""
         old, new = {}, {}
         for name, source in DOMAINS.items():
             before, after = self._changes(folder, source)
@@ -224,15 +227,14 @@ class Upkeep:
             new[name] = after.unionByName(ripe)
         others = self._rest_of_invoices(folder, old, new)
         shares = self._shares(new, others, as_of, 1).unionByName(self._shares(old, others, last or as_of, -1))
+        sums = friction_table(self.root)
+        if not table_exists(self.spark, sums):
+            write_and_read(_summed(shares), f"{folder}/friction_value")
+            return
         change = write_and_read(_summed(shares), f"{folder}/friction_change")
-        sums, together = friction_table(self.root), change
-        if table_exists(self.spark, sums):
-            months = [r[0] for r in change.select(month_of(change, "month_start")).distinct().collect()]
-            held = rows_of_keys(self.spark, sums, change).filter(F.col(MONTH).isin(months))
-            together = change.unionByName(held.select(*change.columns))
-        value = write_and_read(_summed(together), f"{folder}/friction_value")
-        write_and_read(value.filter(F.col(_ROWS) > 0), f"{folder}/friction")
-        write_and_read(value.filter(F.col(_ROWS) <= 0).select(_MONTH_KEY), f"{folder}/friction_gone")
+        months = [r[0] for r in change.select(month_of(change, "month_start")).distinct().collect()]
+        held = rows_of_keys(self.spark, sums, change).filter(F.col(MONTH).isin(months))
+        write_and_read(_summed(change.unionByName(held.select(*change.columns))), f"{folder}/friction_value")
 
     def _rest_of_invoices(self, folder: str, old: Records, new: Records) -> Records:
         """What unchanged invoices and payments the changed ones have to be joined with.
@@ -287,12 +289,13 @@ class Upkeep:
         since = reduce(DataFrame.unionByName, wanted).groupBy("customer_id").agg(F.min("first_month").alias("first_month"))
         since = write_and_read(since, f"{folder}/snapshot_customers")
         rows = facts.fact_customer_month_snapshot(contracts.join(since, "customer_id"), as_of, F.col("first_month"))
-        rows = write_and_read(rows, f"{folder}/snapshot_rows")
         table = fact_table(self.root, SNAPSHOT)
         if table_exists(self.spark, table):
+            rows = write_and_read(rows, f"{folder}/snapshot_rows")
             same = row_fingerprint(rows.columns).alias("_same")
-            stored = rows_of_keys(self.spark, table, rows).select(F.col(table.key), same)
-            rows = rows.select("*", same).join(stored, [table.key, "_same"], "left_anti").select(*rows.columns)
+            stored = rows_of_keys(self.spark, table, rows, [], made=[same]).select(table.key, "_same")
+            wide, narrow = (packed(df, table) for df in (rows.select("*", same), stored))
+            rows = unpacked(wide.join(narrow, [table.key, "_same"], "left_anti"), table).select(*rows.columns)
         write_and_read(rows.withColumn(SNAPSHOT_LOADED_AT, F.current_timestamp()), f"{folder}/snapshot")
 
 

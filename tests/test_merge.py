@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from silverlode.functions.keys import packed_digest, unpacked_digest
 from silverlode.operators import merge as m
 from silverlode.operators.incremental import changed_versions, high_water_mark, incremental_slice
 from silverlode.operators.latest import EXTRACTED_AT, latest_version
@@ -210,3 +211,39 @@ def test_reading_only_changed_versions_is_exact(spark):
 
 def test_scratch_lies_in_the_folder_the_cluster_names(spark):
     assert scratch_path(spark, "/data/fact").startswith(spark.conf.get(CHECKPOINT_DIR))
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    return plan.count("Exchange ")
+
+
+def test_stored_and_new_rows_meet_and_are_written_in_one_exchange(spark, table):
+    m.upsert(spark, table, batch(spark, *[(f"k{i}", JAN if i % 2 else FEB, 1, T1) for i in range(100)], (None, JAN, 1, T1)))
+    rows = batch(spark, *[(f"k{i}", FEB, 2, T2) for i in range(0, 100, 5)], (None, JAN, 2, T2))
+    split = rows.withColumn(m.BUCKET, m.bucket_of(table, 1)).withColumn(m.MONTH, m.month_of(rows, "day"))
+    out = m.rows_of_keys(spark, table, split, []).select("k", m.BUCKET, m.MONTH)
+    merged = m._merge_parts(m._stored_rows(spark, table), split, out, table, 3)
+    assert _exchanges(merged) == 1
+    got = sorted(map(str, merged.select("k", "day", "v").collect()))
+    m.upsert(spark, table, rows)
+    assert got == sorted(map(str, m.read_table(spark, table).select("k", "day", "v").collect()))
+    # Twenty of a hundred keys were replaced; the null key replaces nothing.
+    assert len(got) == 102 and sum("v=2" in g for g in got) == 21
+
+
+def test_no_part_of_a_batch_whose_keys_are_unique_is_shuffled_but_hashes(spark, monkeypatch):
+    seen = []
+    plain = m.duplicate_keys
+    monkeypatch.setattr(m, "duplicate_keys", lambda df, key: seen.append(df.columns) or plain(df, key))
+    assert not m._repeats_keys(batch(spark, ("a", JAN, 1, T1), ("b", JAN, 1, T1), (None, JAN, 1, T1)), "k")
+    assert seen == [["h"]]
+    assert m._repeats_keys(batch(spark, ("a", JAN, 1, T1), ("a", FEB, 1, T1)), "k")
+
+
+def test_digests_and_any_other_text_come_back_from_their_packed_form(spark):
+    texts = ["d41d8cd98f00b204e9800998ecf8427e", "D41D8CD98F00B204E9800998ECF8427E", "", "a", "é" * 8, "x" * 16, "x" * 32, "0" * 32, None]
+    rows = spark.createDataFrame([(t,) for t in texts], "k string").select("k", packed_digest("k").alias("p"))
+    back = rows.select("k", F.col("p").alias("q")).select("k", unpacked_digest("q").alias("b"))
+    assert all(r.k == r.b for r in back.collect())
+    assert rows.filter("k = '0' or length(p) = 16").count() == 2
