@@ -6,11 +6,12 @@ import json
 import unicodedata
 import zlib
 from bisect import bisect_left
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,32 +21,95 @@ from silverlode.llm.common import shuffle_partitions, stored
 
 CAPACITY = 2048
 END_ID = 0
-# Words kept with their ids in a Python worker; the memory is emptied when full.
-CACHED_WORDS = 600_000
-CACHED_PARTS = 800_000
-# Characters of text that a task splits into words at once.
-TEXT_AT_ONCE = 2_000_000
+# What a Python worker keeps: words that are split one by one, about 200 bytes each, and parts of words, about 40.
+CACHED_WORDS = 100_000
+CACHED_PARTS = 1_000_000
+# What a word may not hold if it is split with all others at once: special tokens, white space of two bytes, and a
+# letter whose lower case is two.
+NOT_PLAIN = ("<|", "\u0085", "\u00a0", "\u0130")
+# Bytes of text that a task splits into words at once: so many at least if it has them, and twice as many at most, or one text.
+TEXT_AT_ONCE = 5_000_000
+# Parts of words that the tokenizer gets at once; it needs a kilobyte for each.
+PARTS_AT_ONCE = 20_000
 # A plan has a few runs for each length at most; beyond this it is joined by a shuffle.
 BROADCAST_RUNS = 200_000
 
 
+def _chained(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Packed ids behind each other, and where each value begins, with the end."""
+    ends = np.cumsum(np.fromiter(map(len, values), np.int64, len(values))) // 4
+    return np.frombuffer(b"".join(values), "<u4"), np.concatenate([[0], ends])
+
+
+def _picked(ids: np.ndarray, starts: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the ``wanted`` values behind each other, and where each begins, with the end."""
+    first, size = starts[wanted], np.diff(starts)[wanted]
+    begins = np.concatenate([[0], np.cumsum(size)])
+    return ids[np.arange(begins[-1]) + np.repeat(first - begins[:-1], size)], begins
+
+
+def _places(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an array without nulls, and where each string begins, with the end."""
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), at
+
+
+class PartIds:
+    """Token ids of parts of words. Those asked for lately are kept as flat arrays, of which half go when there are too many."""
+
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], most: int) -> None:
+        self._encode = encode
+        self._most = most
+        self._names = pa.array([], pa.string())
+        self._ids, self._starts = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        self._asked = np.zeros(0, np.int64)
+        self._time = 0
+
+    def of(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different parts behind each other, and where each begins, with the end."""
+        self._time += 1
+        place = pc.index_in(parts, value_set=self._names)
+        if place.null_count:
+            new = place.is_null()
+            place = place.fill_null(0).to_numpy().copy()
+            place[new.to_numpy(zero_copy_only=False)] = len(self._names) + np.arange(pc.sum(new).as_py())
+            names = parts.filter(new)
+            ids, starts = self._encode(names)
+            self._names = pa.concat_arrays([self._names, names])
+            self._starts = np.concatenate([self._starts, starts[1:] + len(self._ids)])
+            self._ids = np.concatenate([self._ids, ids])
+            self._asked = np.concatenate([self._asked, np.zeros(len(names), np.int64)])
+        else:
+            place = place.to_numpy()
+        self._asked[place] = self._time
+        found = _picked(self._ids, self._starts, place)
+        if len(self._names) > self._most:
+            kept = np.sort(np.argsort(-self._asked, kind="stable")[: self._most // 2])
+            self._names, self._asked = self._names.take(pa.array(kept)), self._asked[kept]
+            self._ids, self._starts = _picked(self._ids, self._starts, kept)
+        return found
+
+
 class WordIds:
-    """Token ids of words as little-endian 32-bit numbers, remembered up to a bound.
+    """Token ids of texts as little-endian 32-bit numbers.
 
     For tokenizers that drop white space and never merge across it, the ids of a
-    text are those of its words in order. Words are split further by the pattern of
-    the tokenizer, and new parts are encoded together: the last id of each part is
-    marked as the end of a word in the vocabulary, so the ids fall apart by part.
-    Words for which lower case and composed form are not plain, or that hold the
-    text of a special token, go to the tokenizer one by one.
+    text are those of its words in order. Each different word of some megabytes of
+    text is treated once. It is split further by the pattern of the tokenizer, and
+    new parts are encoded together: the last id of each part is marked as the end
+    of a word in the vocabulary, so the ids fall apart by part. The ids of parts
+    met lately are remembered. Words with characters beyond U+02FF, whose lower case
+    and composed form may not be plain, are split one by one; those that hold the
+    text of a special token go to the tokenizer whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._words: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {}
+        self._words: dict[str, bytes] = {}
+        self._parts = PartIds(self._of_parts, CACHED_PARTS)
         self._pattern = None
         described = json.loads(self._tokenizer.to_str())
         suffix = described["model"].get("end_of_word_suffix")
@@ -59,7 +123,7 @@ class WordIds:
             self._ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def _encode(self, text: str) -> np.ndarray:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _split(self, word: str) -> list[str] | None:
         if self._pattern is None or "<|" in word:
@@ -71,48 +135,91 @@ class WordIds:
             return None
         return [lower] if lower.isalpha() else self._pattern.findall(lower)
 
-    def _learn(self, missing: set[bytes]) -> None:
+    def _of_parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        names = parts.to_pylist()
+        some = [self._encode(" ".join(names[at : at + PARTS_AT_ONCE])) for at in range(0, len(names), PARTS_AT_ONCE)]
+        ids = np.concatenate(some or [np.zeros(0, "<u4")])
+        starts = np.concatenate([[0], np.flatnonzero(self._ends[ids]) + 1])
+        if len(starts) != len(parts) + 1:
+            raise ValueError("the parts of words do not end where the tokenizer ends them")
+        return ids, starts
+
+    def _learn(self, words: list[str]) -> None:
+        """Words that are split one by one."""
         if len(self._words) > CACHED_WORDS:
             self._words.clear()
-        if len(self._parts) > CACHED_PARTS:
-            self._parts.clear()
-        split = {word: self._split(word.decode()) for word in missing}
-        new = list({part for parts in split.values() for part in parts or () if part not in self._parts})
-        if new:
-            ids = self._encode(" ".join(new))
-            ends = (np.flatnonzero(self._ends[ids]) + 1).tolist()
-            if len(ends) != len(new):
-                raise ValueError("the parts of words do not end where the tokenizer ends them")
-            packed, start = ids.tobytes(), 0
-            for part, end in zip(new, ends):
-                self._parts[part] = packed[4 * start : 4 * end]
-                start = end
-        for word, parts in split.items():
-            whole = self._encode(word.decode()).tobytes() if parts is None else b"".join(map(self._parts.__getitem__, parts))
-            self._words[word] = whole
-
-    def ids_of(self, texts: list[str | None]) -> Iterator[bytes]:
+        split = {word: self._split(word) for word in words}
+        parts = list(dict.fromkeys(part for found in split.values() for part in found or ()))
+        ids, starts = self._parts.of(pa.array(parts, pa.string()))
+        packed, bounds = ids.tobytes(), (4 * starts).tolist()
+        known = {part: packed[low:high] for part, low, high in zip(parts, bounds, bounds[1:])}
+        for word, found in split.items():
+            self._words[word] = self._encode(word).tobytes() if found is None else b"".join(map(known.__getitem__, found))
+
+    def _of_other_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = list(map(self._words.get, words))
+        if None in found:
+            # What is known so far may be forgotten meanwhile, but stays here.
+            self._learn([w for w, f in zip(words, found) if f is None])
+            found = [self._words[w] if f is None else f for w, f in zip(words, found)]
+        return _chained(found)
+
+    def _is_plain(self, words: pa.Array) -> np.ndarray:
+        """Which words lower and split alike in any library: above white space, up to U+02FF, without a few characters."""
+        data, at = _places(words)
+        plain = np.zeros(len(words), bool)
+        filled = np.flatnonzero(np.diff(at))
+        if self._pattern is None or not len(filled):
+            return plain
+        # Strings without length have no place of their own; the others follow each other.
+        data = data[: at[-1]]
+        plain[filled] = (np.maximum.reduceat(data, at[filled]) < 0xCC) & (np.minimum.reduceat(data, at[filled]) > 0x20)
+        for left_out in NOT_PLAIN:
+            plain &= ~pc.match_substring(words, left_out).to_numpy(zero_copy_only=False)
+        return plain
+
+    def _of_plain_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lower = pa.array(["\n".join(words.to_pylist()).lower()])
+        marked = pc.replace_substring_regex(lower, self._pattern.pattern, "\\0 ")[0].as_py()
+        lists = pc.split_pattern(pa.array(marked[:-1].split(" \n")), " ")
+        coded = lists.flatten().dictionary_encode()
+        ids, begins = _picked(*self._parts.of(coded.dictionary), coded.indices.to_numpy())
+        return ids, begins[lists.offsets.to_numpy()]
+
+    def ids_of(self, texts: pa.Array) -> Iterator[bytes]:
         """Packed ids of each text, a few megabytes of text at a time."""
+        sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy())])
         at = 0
         while at < len(texts):
-            chunk: list[tuple[list[bytes], list[bytes | None]]] = []
-            missing: set[bytes] = set()
-            size = 0
-            while at < len(texts) and size < TEXT_AT_ONCE:
-                words = (texts[at] or "").encode("utf-8", "replace").split()
-                found = list(map(self._words.get, words))
-                if None in found:
-                    missing.update(w for w, f in zip(words, found) if f is None)
-                chunk.append((words, found))
-                size += len(texts[at] or "")
-                at += 1
-            if missing:
-                # What is known so far may be forgotten meanwhile, but stays in the chunk.
-                self._learn(missing)
-            for words, found in chunk:
-                if None in found:
-                    found = [self._words[w] if f is None else f for w, f in zip(words, found)]
-                yield b"".join(found)
+            end = max(at + 1, int(np.searchsorted(sizes, sizes[at] + 2 * TEXT_AT_ONCE, "right")) - 1)
+            lists = pc.ascii_split_whitespace(texts.slice(at, end - at).cast(pa.string()).fill_null(""))
+            coded = lists.flatten().dictionary_encode()
+            plain = self._is_plain(coded.dictionary)
+            others = coded.dictionary.filter(pa.array(~plain)).to_pylist()
+            ids, begins = self._of_other_words(others)
+            if plain.any():
+                plain_ids, plain_begins = self._of_plain_words(coded.dictionary.filter(pa.array(plain)))
+                begins = np.concatenate([begins, plain_begins[1:] + len(ids)])
+                ids = np.concatenate([ids, plain_ids])
+            # Other words come first, then plain ones.
+            place = np.where(plain, len(others) + np.cumsum(plain) - 1, np.cumsum(~plain) - 1)
+            ids, begins = _picked(ids, begins, place[coded.indices.to_numpy()])
+            bounds = (4 * begins[lists.offsets.to_numpy()]).tolist()
+            packed = ids.tobytes()
+            yield from (packed[low:high] for low, high in zip(bounds, bounds[1:]))
+            at = end
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches with some megabytes of text, as each different word of a batch costs once."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        waiting.append(batch)
+        if sum(b.nbytes for b in waiting) >= TEXT_AT_ONCE:
+            yield pa.concat_batches(waiting)
+            waiting = []
+    if waiting:
+        yield pa.concat_batches(waiting)
 
 
 _cached: dict[str, WordIds] = {}
@@ -145,10 +252,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep
         memory = _word_ids(tokenizer)
         end = END_ID.to_bytes(4, "little")
         width = 4 * capacity
-        for batch in batches:
+        for batch in _together(batches):
             # Pieces of document number `owner` of the batch.
             owner, piece, start, length, crc, kept = [], [], [], [], [], []
-            for row, ids in enumerate(memory.ids_of(batch.column(1).to_pylist())):
+            for row, ids in enumerate(memory.ids_of(batch.column(1))):
                 ids += end
                 for number, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
@@ -169,6 +276,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep
             if keep_ids:
                 columns.append(pa.array(kept, pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+        # The worker may go on with another step, for which these buffers must not stay.
+        pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(cut, T.StructType(fields))
 

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from silverlode.llm import html_text, packing
@@ -36,6 +37,24 @@ def test_plan_places_every_item_once_without_overlap():
             assert len(bins) <= 2 * -(-total // capacity) + 1
 
 
+def test_few_remembered_words_give_the_ids_of_the_tokenizer(monkeypatch):
+    for name, bound in (("CACHED_WORDS", 5), ("CACHED_PARTS", 40), ("TEXT_AT_ONCE", 300), ("PARTS_AT_ONCE", 7)):
+        monkeypatch.setattr(packing, name, bound)
+    rng = random.Random(4)
+    signs = "abcxyzABCÄöéßñÇ'’—-.,!?0189½²ªµ\u0080\u0085\u00a0\u00ad\u0130ȺǅʼnéΣДяאไ日\u0301\u200b\x00\x1c\x7f<|>" + " \t\n\r\x0b\x0c" * 3
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(300)]
+    texts = [rng.choice(texts) for _ in range(400)] + [None, "", " x", "the <|endoftext|> end", "x" * 700]
+    plain = Tokenizer.from_file(VOCABULARY)
+    words = packing.WordIds(VOCABULARY)
+    for kind in (pa.string(), pa.large_string()):
+        got = list(words.ids_of(pa.array(texts, kind)))
+        assert len(got) == len(texts)
+        for text, ids in zip(texts, got):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text or "", add_special_tokens=False).ids, repr(text)
+    # What is kept is bounded, so that it leaves room for the next step in the same worker.
+    assert len(words._parts._names) <= 40
+
+
 def test_pieces_are_those_of_the_tokenizer(spark):
     texts = [
         None, "", "  ", "Hello, world's END!! 12½ x²", "İstanbul ΣΑΣ e\u0301té é <|endoftext|> a<|startoftext|>b", "\u00a0x\u2003y\x1cz", "日本語 テキスト 123",
