@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 from typing import NamedTuple
 
 import numpy as np
@@ -13,14 +12,19 @@ from pyspark.sql import functions as F
 from silverlode.llm.common import stored
 
 K = 20
-SHARD_ROWS = 4096
+# Every query visits every shard, so shards are as large as a task can build in a minute.
+SHARD_ROWS = 16384
+# Components of all vectors of a shard, so that long vectors fit a task too.
+SHARD_VALUES = 1 << 23
 # Links of a node on the upper levels; the lowest level has twice as many.
 LINKS = 16
 # Earlier nodes that compete for the links of a new node, and nodes that a search keeps open.
 BUILD_WIDTH = 64
-SEARCH_WIDTH = 120
+SEARCH_WIDTH = 240
 # Queries that one task runs through one shard.
 QUERY_BLOCK = 4096
+# Walks that step together; each marks the nodes of the shard that it has seen.
+WALKS = 256
 
 GRAPH = "shard long, entry int, rows int, width int, limit double, vectors binary, keys binary, levels binary, neighbours binary"
 
@@ -95,49 +99,80 @@ def build_graph(vectors: np.ndarray, seed: int) -> Graph:
     return Graph(int(np.argmax(height)), vectors, neighbours)
 
 
-def search_graph(graph: Graph, query: np.ndarray, width: int) -> np.ndarray:
-    """The nodes that a best-first walk keeps, nearest first: greedy on the upper levels, ``width`` open nodes on the lowest."""
-    vectors = graph.vectors
-    node = graph.entry
-    score = float(vectors[node] @ query)
-    for level in range(len(graph.neighbours) - 1, 0, -1):
-        while True:
-            around = graph.neighbours[level][node]
-            around = around[around >= 0]
-            if not len(around):
-                break
-            scores = vectors[around] @ query
-            best = int(scores.argmax())
-            if scores[best] <= score:
-                break
-            node, score = int(around[best]), float(scores[best])
-    seen = np.zeros(len(vectors), bool)
-    seen[node] = True
-    open_nodes = [(-score, node)]
-    kept = [(score, node)]
-    while open_nodes:
-        score, node = heapq.heappop(open_nodes)
-        if len(kept) >= width and -score < kept[0][0]:
-            break
-        around = graph.neighbours[0][node]
-        around = around[around >= 0]
-        around = around[~seen[around]]
-        if not len(around):
+def _greedy(graph: Graph, queries: np.ndarray) -> np.ndarray:
+    """Where each query enters the lowest level: on every level above it steps to the nearest linked node until none is nearer."""
+    nodes = np.full(len(queries), graph.entry)
+    scores = queries @ graph.vectors[graph.entry]
+    for links in reversed(graph.neighbours[1:]):
+        moving = np.arange(len(queries))
+        while len(moving):
+            around = links[nodes[moving]]
+            near = np.einsum("qnd,qd->qn", graph.vectors[around], queries[moving])
+            near[around < 0] = -np.inf
+            best = near.argmax(axis=1)
+            value = near[np.arange(len(moving)), best]
+            nearer = value > scores[moving]
+            nodes[moving[nearer]] = around[nearer, best[nearer]]
+            scores[moving[nearer]] = value[nearer]
+            moving = moving[nearer]
+    return nodes
+
+
+def search_graph(graph: Graph, queries: np.ndarray, width: int) -> list[np.ndarray]:
+    """For each query the nodes that a best-first walk keeps, nearest first: greedy on the upper levels, ``width`` nodes on the lowest.
+
+    All queries take their steps together: each opens the nearest node it keeps and has not opened, until there is none.
+    """
+    vectors, links = graph.vectors, graph.neighbours[0]
+    entries = _greedy(graph, queries)
+    found: list[np.ndarray] = [entries[:0]] * len(queries)
+    walking = np.arange(len(queries))
+    seen = np.zeros((len(queries), len(vectors)), bool)
+    seen[walking, entries] = True
+    kept = np.full((len(queries), width), -1, np.int32)
+    scores = np.full((len(queries), width), -np.inf, np.float32)
+    kept[:, 0] = entries
+    scores[:, 0] = np.einsum("qd,qd->q", vectors[entries], queries)
+    to_open = scores.copy()  # without those that were opened
+    worst = scores.min(axis=1)
+    while len(walking):
+        row = np.arange(len(walking))
+        best = to_open.argmax(axis=1)
+        done = to_open[row, best] == -np.inf
+        if done.any():
+            for at in np.flatnonzero(done):
+                order = np.argsort(-scores[at], kind="stable")
+                found[walking[at]] = kept[at, order][kept[at, order] >= 0]
+            left = ~done
+            walking, queries = walking[left], queries[left]
+            kept, scores, to_open, worst = kept[left], scores[left], to_open[left], worst[left]
+            continue
+        around = links[kept[row, best]]
+        to_open[row, best] = -np.inf
+        of, column = np.nonzero((around >= 0) & ~seen[walking[:, None], around])
+        node = around[of, column]
+        seen[walking[of], node] = True
+        near = np.einsum("nd,nd->n", vectors[node], queries[of])
+        good = near > worst[of]
+        of, node, near = of[good], node[good], near[good]
+        if not len(of):
             continue
-        seen[around] = True
-        scores = vectors[around] @ query
-        if len(kept) >= width:
-            good = scores > kept[0][0]
-            around, scores = around[good], scores[good]
-        for found, value in zip(around.tolist(), scores.tolist()):
-            if len(kept) < width:
-                heapq.heappush(kept, (value, found))
-            elif value > kept[0][0]:
-                heapq.heapreplace(kept, (value, found))
-            else:
-                continue
-            heapq.heappush(open_nodes, (-value, found))
-    return np.array([n for _, n in sorted(kept, reverse=True)], np.int64)
+        # One row for each walk that gains nodes, with places for as many as the walk that gains most.
+        gaining, first, gains = np.unique(of, return_index=True, return_counts=True)
+        line = np.repeat(np.arange(len(gaining)), gains)
+        place = width + np.arange(len(of)) - np.repeat(first, gains)
+        wide = ((0, 0), (0, int(gains.max())))
+        all_kept = np.pad(kept[gaining], wide, constant_values=-1)
+        all_scores = np.pad(scores[gaining], wide, constant_values=-np.inf)
+        all_open = np.pad(to_open[gaining], wide, constant_values=-np.inf)
+        all_kept[line, place] = node
+        all_scores[line, place] = all_open[line, place] = near
+        stays = np.argpartition(-all_scores, width - 1, axis=1)[:, :width]
+        kept[gaining] = np.take_along_axis(all_kept, stays, 1)
+        scores[gaining] = np.take_along_axis(all_scores, stays, 1)
+        to_open[gaining] = np.take_along_axis(all_open, stays, 1)
+        worst[gaining] = scores[gaining].min(axis=1)
+    return found
 
 
 def usable(vector: Column) -> Column:
@@ -167,10 +202,10 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per shard with its graph as flat arrays; every vector is in exactly one shard.
 
     ``vectors`` has ``key``, ``dim`` and ``vector``. Shards are hash groups of about ``shard_rows``
-    vectors of one dimension each, so their number grows with the table.
+    vectors of one dimension each (fewer if these are long), so their number grows with the table.
     """
     sizes = {r["dim"]: r["n"] for r in vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    counts = [(dim, -(-n // shard_rows)) for dim, n in sizes.items()]
+    counts = [(dim, -(-n // max(1, min(shard_rows, SHARD_VALUES // dim)))) for dim, n in sizes.items()]
     shards = F.create_map(*[F.lit(x) for pair in counts for x in pair]) if counts else F.create_map().cast("map<int,int>")
     place = F.pmod(F.xxhash64("key"), F.coalesce(shards[F.col("dim")], F.lit(1)))
     placed = vectors.select("key", "vector", (F.col("dim").cast("long") * (1 << 32) + place).alias("shard"))
@@ -221,13 +256,16 @@ def _search(k: int, width: int):
             return empty
         graph, keys = _load(index.iloc[0])
         exact = graph.vectors[:, :-1].astype(np.float64)
-        parts = []
-        for query_id, vector in zip(queries["query_id"], queries["vector"]):
-            query = np.asarray(vector, np.float32)
+        parts = [empty]
+        for start in range(0, len(queries), WALKS):
+            some = queries.iloc[start : start + WALKS]
+            vectors = np.stack(some["vector"].to_numpy()).astype(np.float32)
             # Its own vector may be among them, and the copies of one vector count as one here.
-            found = search_graph(graph, np.append(query, np.float32(0)), width)[: k + 1]
-            scores = (exact[found] * query.astype(np.float64)).sum(axis=1)
-            parts.append(pd.DataFrame({"query_id": query_id, "key": keys[found], "score": scores}))
+            found = [f[: k + 1] for f in search_graph(graph, np.pad(vectors, ((0, 0), (0, 1))), width)]
+            of = np.repeat(np.arange(len(some)), [len(f) for f in found])
+            nodes = np.concatenate(found)
+            scores = (exact[nodes] * vectors[of].astype(np.float64)).sum(axis=1)
+            parts.append(pd.DataFrame({"query_id": some["query_id"].to_numpy()[of], "key": keys[nodes], "score": scores}))
         return pd.concat(parts, ignore_index=True)
 
     return run

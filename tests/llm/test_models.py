@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 from silverlode.llm import hnsw, induced, katz, minhash, repeats, toxicity
@@ -209,6 +210,23 @@ def plain_katz(rows, factors_of):
     return out
 
 
+def test_walks_step_together_through_few_shards(spark):
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(1200, 8)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    graph = hnsw.build_graph(vectors, 3)
+    queries = vectors[:300]
+    found = hnsw.search_graph(graph, queries, 60)
+    alone = [hnsw.search_graph(graph, q[None], 60)[0] for q in queries[:20]]
+    assert len(found) == 300 and [f.tolist()[:10] for f in found[:20]] == [a.tolist()[:10] for a in alone]
+    assert all(f[0] == i and len(set(f.tolist())) == 60 and (np.diff(vectors[f] @ queries[i]) < 1e-6).all() for i, f in enumerate(found))
+    best = np.argsort(-(queries @ vectors.T), axis=1)[:, :20]
+    assert np.mean([np.isin(b, f).mean() for b, f in zip(best, found)]) > 0.95
+    # Ten thousand short vectors are one shard, long ones are dealt by their bytes.
+    rows = spark.range(10_000).select(F.col("id").alias("key"), F.lit(2).alias("dim"), F.array(F.rand(1).cast("float"), F.rand(2).cast("float")).alias("vector"))
+    assert [r["rows"] for r in hnsw.build_index(rows).select("rows").collect()] == [10_000]
+
+
 def test_katz_scores_equal_a_plain_model(spark, monkeypatch):
     rng = random.Random(2)
     vocabulary = [f"w{i}" for i in range(60)]
