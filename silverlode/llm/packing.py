@@ -28,9 +28,9 @@ CACHED_PARTS = 1_000_000
 # letter whose lower case is two.
 NOT_PLAIN = ("<|", "\u0085", "\u00a0", "\u0130")
 # Bytes of text that a task splits into words at once: so many at least if it has them, and twice as many at most, or one text.
-TEXT_AT_ONCE = 5_000_000
+TEXT_AT_ONCE = 2_000_000
 # Parts of words that the tokenizer gets at once; it needs a kilobyte for each.
-PARTS_AT_ONCE = 20_000
+PARTS_AT_ONCE = 10_000
 # A plan has a few runs for each length at most; beyond this it is joined by a shuffle.
 BROADCAST_RUNS = 200_000
 

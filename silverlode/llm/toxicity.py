@@ -28,7 +28,9 @@ THRESHOLD = 0.7
 RIDGE = 1e-5
 SWAP_PENALTY = 1.0
 STEPS = 400
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
+# Features whose counts a task holds before it hands them to Spark, which adds them up before the shuffle.
+COUNTED_FEATURES = 100_000
 
 # Terms of one group stand for each other in a swapped sentence.
 IDENTITY_GROUPS = (
@@ -198,7 +200,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total.update(found)
             if label:
                 toxic.update(found)
-            if len(total) > 500_000:
+            if len(total) > COUNTED_FEATURES:
                 yield rows()
                 total.clear()
                 toxic.clear()

@@ -148,6 +148,10 @@ def payments_of_invoices(payment: DataFrame, billing: DataFrame) -> DataFrame:
     return per_invoice.join(billing.select("invoice_id", "customer_id"), "invoice_id")
 
 
+# The name it had before the upkeep took it over.
+_payments_of_invoices = payments_of_invoices
+
+
 def friction_rows(
     billing: DataFrame, paid: DataFrame, usage: DataFrame, network: DataFrame, support: DataFrame
 ) -> DataFrame:

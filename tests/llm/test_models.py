@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 import pytest
 
@@ -143,6 +144,24 @@ def test_scores_do_not_depend_on_the_bound_of_the_sample(spark):
     assert abs(bounded("vermin") - whole("vermin")) < 0.15
 
 
+def test_counts_of_features_leave_tasks_in_bounded_parts(monkeypatch):
+    texts = [" ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(n, n + 5)) for n in range(0, 300, 2)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 2 for i in range(len(texts))], pa.int32())], names=["text", "label"])
+
+    def counted() -> tuple[dict, list[int]]:
+        parts = list(toxicity._counts(iter([batch])))
+        total: dict[str, tuple[int, int]] = {}
+        for name, n, toxic in (row for part in parts for row in zip(*(c.to_pylist() for c in part.columns))):
+            total[name] = (total.get(name, (0, 0))[0] + n, total.get(name, (0, 0))[1] + toxic)
+        return total, [p.num_rows for p in parts]
+
+    whole, sizes = counted()
+    assert len(sizes) == 1
+    monkeypatch.setattr(toxicity, "COUNTED_FEATURES", 50)
+    parts, sizes = counted()
+    assert parts == whole and len(sizes) > 5 and max(sizes) < 50 + 30
+
+
 def test_neighbours_with_copies_ties_and_unusable_vectors(spark):
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(1500, 16)) * rng.uniform(0.5, 2, (1500, 1))
