@@ -19,7 +19,8 @@ from silverlode.llm.groups import components
 ROWS = 5
 BANDS = 40
 SIMILARITY = (80, 100)
-CACHED_WORDS = 300_000
+# About 150 bytes each stay in a worker while other steps use it; a hash is quickly made again.
+CACHED_WORDS = 50_000
 # Shingles are counted in so many slots (a power of two) to put rare ones first.
 SLOT_BITS = 18
 # Elements that a task signs at once.

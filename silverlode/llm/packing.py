@@ -22,8 +22,8 @@ from silverlode.llm.common import shuffle_partitions, stored
 CAPACITY = 2048
 END_ID = 0
 # What a Python worker keeps: words that are split one by one, about 200 bytes each, and parts of words, about 40.
-CACHED_WORDS = 100_000
-CACHED_PARTS = 1_000_000
+CACHED_WORDS = 30_000
+CACHED_PARTS = 250_000
 # What a word may not hold if it is split with all others at once: special tokens, white space of two bytes, and a
 # letter whose lower case is two.
 NOT_PLAIN = ("<|", "\u0085", "\u00a0", "\u0130")
