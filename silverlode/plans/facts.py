@@ -316,19 +316,22 @@ def fact_customer_month_snapshot(
         "status",
         first.alias("first_month"),
     )
+    newest_first = [c("contract_start_date").desc_nulls_first(), c("subscription_id").desc_nulls_first()]
+    start, end = c("contract_start_date"), F.coalesce(c("contract_end_date"), today)
+    # Of contracts that run from the same month to the same month only the newest counts. That bounds what a customer has,
+    # so contracts can meet by customer first, and the many rows of their months do not move.
+    spans = [dates.month_start(start).alias("__from"), dates.month_start(end).alias("__to")]
+    contracts = latest_per_key(contracts.select("*", *spans), ["customer_id", "__from", "__to"], newest_first, total=True)
+    # As many parts as shuffles have: their size before the months says little about that afterwards.
+    parts = int(contracts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     running = months_covered(
-        contracts,
-        c("contract_start_date"),
-        F.coalesce(c("contract_end_date"), today),
+        contracts.drop("__from", "__to").repartition(parts, "customer_id"),
+        start,
+        end,
         c("first_month"),
         last_calendar_day(as_of),
     )
-    newest = latest_per_key(
-        running,
-        ["customer_id", "month_start"],
-        [c("contract_start_date").desc_nulls_first(), c("subscription_id").desc_nulls_first()],
-        total=True,
-    )
+    newest = latest_per_key(running, ["customer_id", "month_start"], newest_first, total=True)
     month_end = F.last_day("month_start")
     active = (c("status") == "ACTIVE") & (c("contract_end_date").isNull() | (c("contract_end_date") > month_end))
     return newest.select(

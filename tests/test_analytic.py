@@ -320,3 +320,30 @@ def test_invoice_named_by_a_third_of_payments_is_summed_before_the_join(spark, s
     assert got.agg(F.sum("failed_payment_attempts")).first()[0] == 30000
     joined = analytic._payments_of_invoices(paid, bills)
     assert joined.filter("invoice_id = 'I0'").count() == 1
+
+
+def test_months_of_contracts_do_not_move(spark):
+    contract = [F.lit(n).alias(n) for n in ("plan_name", "plan_tier", "contract_type", "status")]
+    contracts = spark.range(0, 3000, 1, 4).select(
+        F.concat(F.lit("C"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40)).alias("customer_id"),
+        F.concat(F.lit("S"), "id").alias("subscription_id"),
+        *contract,
+        F.col("id").cast("decimal(18,2)").alias("base_monthly_price"),
+        F.date_sub(F.lit(AS_OF), (F.col("id") * 7 % 900).cast("int")).alias("contract_start_date"),
+        F.when(F.col("id") % 2 == 0, F.date_sub(F.lit(AS_OF), (F.col("id") * 11 % 700).cast("int"))).alias("contract_end_date"),
+    )
+    got = facts.fact_customer_month_snapshot(contracts, AS_OF)
+    above = got._jdf.queryExecution().sparkPlan().toString()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in above and "Exchange" not in plan[: plan.index("Generate")]
+    # The newest contract of each month, found in plain code.
+    want = {}
+    for r in contracts.collect():
+        end = r.contract_end_date or AS_OF
+        at = r.contract_start_date.replace(day=1)
+        while at <= end:
+            key = (r.customer_id, at)
+            want[key] = max(want.get(key, (r.contract_start_date, "")), (r.contract_start_date, r.subscription_id, r.base_monthly_price))
+            at = (at + dt.timedelta(days=32)).replace(day=1)
+    found = {(r.month_start, r.base_monthly_price) for r in got.collect()}
+    assert got.count() == len(want) and found == {(month, best[2]) for (_, month), best in want.items()}
