@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.functions.keys import packed_digest, unpacked_digest
+from silverlode.functions.keys import packed_digest, surrogate_key, unpacked_digest
 from silverlode.operators.incremental import WATERMARK, high_water_mark
 from silverlode.operators.storage import (
     COMPRESSION,
@@ -57,7 +57,8 @@ class MergeTable:
 
     Files are sorted by key and carry a Bloom filter of it, so a search for some keys opens only the row
     groups that may hold them. ``also_searched`` names further columns that get a filter. ``digests`` names
-    columns of md5 text, which travel between tasks as 16 bytes.
+    columns of md5 text, which travel between tasks as 16 bytes. ``made_of`` names the one column that the key is the
+    surrogate key of, if there is one: rows that hold it move without their key.
     """
 
     path: str
@@ -68,6 +69,7 @@ class MergeTable:
     buckets: int | None = None
     also_searched: tuple[str, ...] = ()
     digests: tuple[str, ...] = ()
+    made_of: str | None = None
 
     @property
     def state(self) -> str:
@@ -163,6 +165,27 @@ def unpacked(rows: DataFrame, table: MergeTable) -> DataFrame:
     return rows.withColumns({c: unpacked_digest(c) for c in table.digests if c in rows.columns})
 
 
+def _without_key(rows: DataFrame, table: MergeTable) -> DataFrame:
+    """``packed`` whole rows, whose key is empty where another column makes it."""
+    if table.made_of not in rows.columns or table.key not in table.digests:
+        return packed(rows, table)
+    made = F.col(table.key) == surrogate_key(table.made_of)
+    return rows.withColumns(
+        {
+            **{c: packed_digest(c) for c in table.digests if c in rows.columns},
+            table.key: F.when(made, F.lit(b"")).otherwise(packed_digest(table.key)),
+        }
+    )
+
+
+def _with_key(rows: DataFrame, table: MergeTable) -> DataFrame:
+    """The rows of ``_without_key`` as they were."""
+    if table.made_of not in rows.columns or table.key not in table.digests:
+        return unpacked(rows, table)
+    key = F.when(F.length(table.key) == 0, surrogate_key(table.made_of)).otherwise(unpacked_digest(table.key))
+    return rows.withColumns({**{c: unpacked_digest(c) for c in table.digests if c in rows.columns}, table.key: key})
+
+
 def rows_of_keys(
     spark: SparkSession,
     table: MergeTable,
@@ -253,8 +276,8 @@ def _buckets_for(spark: SparkSession, table: MergeTable, rows: DataFrame, path:
 
 def _in_order(rows: DataFrame, table: MergeTable) -> DataFrame:
     """Rows of a part together and sorted by key; adaptive execution splits a large part into several files."""
-    together = packed(rows, table).hint("rebalance", BUCKET, MONTH)
-    return unpacked(together, table).sortWithinPartitions(BUCKET, MONTH, table.key)
+    together = _without_key(rows, table).hint("rebalance", BUCKET, MONTH)
+    return _with_key(together, table).sortWithinPartitions(BUCKET, MONTH, table.key)
 
 
 def _write_parts(rows: DataFrame, table: MergeTable) -> None:
@@ -336,7 +359,7 @@ def _merge_parts(current: DataFrame, rows: DataFrame, out: DataFrame, table: Mer
     both = current.withColumn(_FROM, F.lit(_STORED)).unionByName(new.withColumn(_FROM, F.lit(_NEW)), allowMissingColumns=True)
     both = both.select(*columns, _FROM).unionByName(out.withColumn(_FROM, F.lit(_TAKEN)), allowMissingColumns=True)
     both = both.withColumn(_SHARE, F.pmod(F.xxhash64(table.key, F.lit(1)), F.lit(shares)))
-    met = unpacked(packed(both, table).repartition(BUCKET, MONTH, _SHARE), table)
+    met = _with_key(_without_key(both, table).repartition(BUCKET, MONTH, _SHARE), table)
     order = [BUCKET, MONTH, table.key, _SHARE]
     newest = F.max(_FROM).over(Window.partitionBy(*order))
     # A null key replaces nothing.

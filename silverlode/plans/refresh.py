@@ -73,9 +73,19 @@ FACT_SOURCES = {
 _DIGESTS = ("customer_key", "subscription_key", "plan_key", "region_key", "network_node_key", "agent_team_key", "campaign_key")
 
 
+# The column whose surrogate key is the key of the fact, in facts that hold it.
+_MADE_OF = {
+    "fact_billing": "invoice_id",
+    "fact_payment": "payment_id",
+    "fact_usage_snapshot": "usage_id",
+    "fact_network_event": "event_id",
+    "fact_support_ticket": "ticket_id",
+}
+
+
 def fact_table(root: str, name: str) -> MergeTable:
     key, date, options = _FACT_TABLES[name]
-    return MergeTable(f"{root}/{name}", key, date, digests=(key, *_DIGESTS), **options)
+    return MergeTable(f"{root}/{name}", key, date, digests=(key, *_DIGESTS), made_of=_MADE_OF.get(name), **options)
 
 
 def load_fact(

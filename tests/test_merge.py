@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from silverlode.functions.keys import packed_digest, unpacked_digest
+from silverlode.functions.keys import packed_digest, surrogate_key, unpacked_digest
 from silverlode.operators import merge as m
 from silverlode.operators.incremental import changed_versions, high_water_mark, incremental_slice
 from silverlode.operators.latest import EXTRACTED_AT, latest_version
@@ -247,3 +247,24 @@ def test_digests_and_any_other_text_come_back_from_their_packed_form(spark):
     back = rows.select("k", F.col("p").alias("q")).select("k", unpacked_digest("q").alias("b"))
     assert all(r.k == r.b for r in back.collect())
     assert rows.filter("k = '0' or length(p) = 16").count() == 2
+
+
+def test_key_that_another_column_makes_stays_behind_when_rows_move(spark, tmp_path):
+    table = m.MergeTable(str(tmp_path / "fact"), "k", "day", digests=("k",), made_of="i")
+    schema = "k string, i string, day date, v int, source_extracted_at timestamp"
+    of = {i: surrogate_key_of(spark, i) for i in ("a", "b", "c", None)}
+    first = [(of["a"], "a", JAN, 1, T1), (of["b"], "b", JAN, 1, T1), ("x", "c", JAN, 1, T1), (of[None], None, FEB, 1, T1), (None, "d", FEB, 1, T1), ("", "e", FEB, 1, T1)]
+    rows = batch(spark, *first, schema=schema)
+    moved = m._without_key(rows, table)
+    assert [r.k and len(r.k) for r in moved.collect()] == [b"", b"", 18, b"", None, 17]
+    assert m._with_key(moved, table).collect() == rows.collect()
+    m.upsert(spark, table, rows)
+    # A key moves to another month, and one key comes with another id.
+    m.upsert(spark, table, batch(spark, (of["a"], "a", MAR, 2, T2), (of["b"], "z", JAN, 2, T2), schema=schema))
+    want = {(of["a"], MAR, 2), (of["b"], JAN, 2), ("x", JAN, 1), (of[None], FEB, 1), (None, FEB, 1), ("", FEB, 1)}
+    got = [(r.k, r.day, r.v) for r in m.read_table(spark, table).collect()]
+    assert len(got) == 6 and set(got) == want
+
+
+def surrogate_key_of(spark, value):
+    return spark.createDataFrame([(value,)], "i string").select(surrogate_key("i")).first()[0]
