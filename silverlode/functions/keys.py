@@ -30,7 +30,7 @@ def packed_digest(name: str) -> Column:
     """A digest in 16 bytes instead of 32 characters, for moves between tasks; any other text as marked bytes."""
     text = F.col(name)
     digest = F.unhex(text)
-    is_digest = (F.length(text) == 32) & (F.lower(F.hex(digest)) == text)
+    is_digest = (F.length(text) == 32) & digest.isNotNull() & (F.lower(text) == text)
     marked = F.concat(F.unhex(F.lit(_TEXT_MARK)), F.encode(text, "UTF-8"))
     return F.when(F.coalesce(is_digest, F.lit(False)), digest).otherwise(marked)
 

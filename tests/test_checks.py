@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from silverlode.operators import checks
 from silverlode.operators.checks import Check, run_suite
@@ -86,3 +87,13 @@ def test_freshness(spark):
     sources = {"a": loaded, "b": loaded, "none": loaded.filter("false")}
     got = {r.source_name: (r.age_seconds, r.status) for r in checks.freshness(sources, now, ages, "at").collect()}
     assert got == {"a": (86400, "pass"), "b": (86400, "warn"), "none": (None, "warn")}
+
+
+def test_digests_are_counted_in_their_short_form(spark):
+    digest = F.md5(F.col("id").cast("string"))
+    # Twice a digest, once and twice other text, and two missing keys.
+    keys = F.when(F.col("id") < 2, F.md5(F.lit("a"))).when(F.col("id") < 4, "text").when(F.col("id") < 6, F.lit(None)).otherwise(digest)
+    rows = spark.range(10).select(keys.alias("some_key"))
+    got = checks.run_suite({"t": rows}, [checks.Check("t", "some_key", "unique")])
+    assert [r.failures for r in got.collect()] == [2] == [checks.unique(rows, "some_key").count()]
+    assert "unhex" in got._jdf.queryExecution().optimizedPlan().toString()
