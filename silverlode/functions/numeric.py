@@ -51,6 +51,11 @@ def percentage(part: Column, total: Column) -> Column:
     return F.round(share, 2).cast("decimal(18,2)")
 
 
+def sum_given(name: str, how: str = "sum") -> Column:
+    """A sum, or an average, which rows without the value do not touch; the result is that of all rows."""
+    return F.expr(f"{how}(`{name}`) FILTER (WHERE `{name}` IS NOT NULL)")
+
+
 def close_to(left: Column, right: Column, tolerance: str) -> Column:
     return F.abs(left - right) <= F.lit(Decimal(tolerance))
 

@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 from silverlode.functions.keys import row_fingerprint, surrogate_key
 from silverlode.operators.latest import NEWEST, latest_per_key, latest_version, newest_first
 from silverlode.operators.merge import BUCKET, MONTH, MergeTable, read_table, rows_of_keys, table_exists, upsert
-from silverlode.operators.storage import write_and_read
+from silverlode.operators.storage import path_exists, write_and_read
 
 KEY = "version_key"
 DAY = "version_day"
 LINK = "version_link"
 _STORED = "__stored"
+# Folder of the stored rows that a load contests; a first load has none.
+_HELD = "held"
 
 
 @dataclass(frozen=True)
@@ -58,7 +60,7 @@ def contest(
         nothing = after.limit(0).select("*", F.lit(0).alias(BUCKET), F.lit(0).alias(MONTH))
         return write_and_read(nothing, f"{folder}/before"), after
     incoming = write_and_read(newest, f"{folder}/arrived")
-    held = write_and_read(rows_of_keys(spark, table.rows, incoming).select(*incoming.columns, BUCKET, MONTH), f"{folder}/held")
+    held = write_and_read(rows_of_keys(spark, table.rows, incoming).select(*incoming.columns, BUCKET, MONTH), f"{folder}/{_HELD}")
     both = incoming.withColumn(_STORED, F.lit(0)).unionByName(held.drop(BUCKET, MONTH).withColumn(_STORED, F.lit(1)))
     # The order that a pass over all versions would use; of equal rows the stored one stays.
     order = [*newest_first(), row_fingerprint(columns), F.col(_STORED).desc()]
@@ -68,6 +70,11 @@ def contest(
     return before, after
 
 
+def is_first_load(spark: SparkSession, folder: str) -> bool:
+    """Whether ``contest`` left rows of a table that was not there yet, so all its rows are among them."""
+    return path_exists(spark, f"{folder}/after") and not path_exists(spark, f"{folder}/{_HELD}")
+
+
 def settle(spark: SparkSession, table: VersionTable, before: DataFrame, after: DataFrame, folder: str) -> None:
     """Store the winners that ``contest`` left below ``folder``; doing it again changes nothing."""
     upsert(spark, table.rows, after, old=before.select(KEY, BUCKET, MONTH), stored=f"{folder}/after")

@@ -28,12 +28,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.functions import dates, parsing
+from silverlode.functions import dates, numeric, parsing
 from silverlode.functions.keys import row_fingerprint, surrogate_key
 from silverlode.operators.latest import NEWEST
 from silverlode.operators.merge import BUCKET, MONTH, MergeTable, month_of, packed, read_table, rows_of_keys, table_exists, unpacked, upsert
 from silverlode.operators.storage import delete_path, path_exists, read_note, scratch_path, write_and_read, write_note
-from silverlode.operators.versions import DAY, KEY, LINK, VersionTable, contest, newest_rows, settle
+from silverlode.operators.versions import DAY, KEY, LINK, VersionTable, contest, is_first_load, newest_rows, settle
 from silverlode.plans import analytic, facts
 from silverlode.plans.models import Warehouse
 from silverlode.plans.refresh import FRICTION, SNAPSHOT, SNAPSHOT_LOADED_AT, fact_table
@@ -242,18 +242,23 @@ class Upkeep:
         A payment counts for the customer of its invoice, so all payments of a changed invoice, and the
         invoices of changed payments, take part on both sides.
         """
+        found = {name: new[name].limit(0) for name in (PAYMENTS, INVOICES)}
+        # A table that this load has made holds changed records only.
+        searched = {
+            name: by
+            for name, by in ((PAYMENTS, LINK), (INVOICES, None))
+            if table_exists(self.spark, version_table(self.root, DOMAINS[name]).rows)
+            and not is_first_load(self.spark, f"{folder}/{DOMAINS[name]}")
+        }
+        if not searched:
+            return found
         ids = [side[name].select(F.trim("invoice_id").alias("id")) for side in (old, new) for name in (INVOICES, PAYMENTS)]
         touched = write_and_read(reduce(DataFrame.union, ids).filter("id IS NOT NULL").distinct(), f"{folder}/touched")
-        found = {}
-        for name, by in ((PAYMENTS, LINK), (INVOICES, None)):
+        for name, by in searched.items():
             table = version_table(self.root, DOMAINS[name]).rows
-            columns = new[name].columns
-            if table_exists(self.spark, table):
-                # The changes are merged by now: what is not among them is the same before and after.
-                stored = rows_of_keys(self.spark, table, touched.withColumnRenamed("id", by or KEY), by=by)
-                rest = stored.join(new[name].select(KEY), KEY, "left_anti").select(*columns)
-            else:
-                rest = new[name].limit(0)
+            # The changes are merged by now: what is not among them is the same before and after.
+            stored = rows_of_keys(self.spark, table, touched.withColumnRenamed("id", by or KEY), by=by)
+            rest = stored.join(new[name].select(KEY), KEY, "left_anti").select(*new[name].columns)
             found[name] = write_and_read(rest, f"{folder}/rest_{name}")
         return found
 
@@ -270,7 +275,8 @@ class Upkeep:
         joined = clean({name: changed[name].unionByName(others[name]) for name in others})
         paid = analytic.payments_of_invoices(joined[PAYMENTS], joined[INVOICES])
         rows = analytic.friction_rows(own[INVOICES], paid, *(own[n] for n in DOMAINS if n not in others))
-        values = [F.coalesce(F.col(name) * sign, F.lit(0)).cast(_SUMS[name]).alias(name) for name in analytic.MEASURES]
+        # Measures of other domains stay missing: no row adds their zeros.
+        values = [(F.col(name) * sign).cast(_SUMS[name]).alias(name) for name in analytic.MEASURES]
         counts = [F.when(F.col(name.removeprefix("n_")).isNotNull(), sign).otherwise(0).cast("long").alias(name) for name in _COUNTED]
         key = surrogate_key("customer_id", "month_start").alias(_MONTH_KEY)
         return rows.select(key, "customer_id", "month_start", *values, *counts, F.lit(sign).cast("long").alias(_ROWS))
@@ -302,8 +308,9 @@ class Upkeep:
 def _summed(rows: DataFrame) -> DataFrame:
     """One row per customer-month, in the types of the stored sums."""
     names = [*analytic.MEASURES, *_COUNTED, _ROWS]
-    total = rows.groupBy(_MONTH_KEY, "customer_id", "month_start").agg(*[F.sum(n).alias(n) for n in names])
-    return total.select(_MONTH_KEY, "customer_id", "month_start", *[F.col(n).cast(_SUMS.get(n, "long")).alias(n) for n in names])
+    total = rows.groupBy(_MONTH_KEY, "customer_id", "month_start").agg(*[numeric.sum_given(n).alias(n) for n in names])
+    sums = [F.coalesce(n, F.lit(0)).cast(_SUMS.get(n, "long")).alias(n) for n in names]
+    return total.select(_MONTH_KEY, "customer_id", "month_start", *sums)
 
 
 def _opened(contracts: DataFrame, last: dt.date, as_of: dt.date) -> DataFrame:

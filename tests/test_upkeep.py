@@ -173,3 +173,20 @@ def test_no_tables_yet(spark, tmp_path):
     keeper.load({}, DAYS[0])
     tables = keeper.silver(DAYS[0])
     assert tables[FRICTION].count() == 0 and tables["int_billing_clean"].count() == 0
+
+
+def test_a_first_load_looks_for_no_further_invoices_and_payments(spark, deliveries, tmp_path, monkeypatch):
+    searched = []
+
+    def counted(spark, table, *args, **options):
+        searched.append(table.path)
+        return merge.rows_of_keys(spark, table, *args, **options)
+
+    monkeypatch.setattr(u, "rows_of_keys", counted)
+    keeper = u.Upkeep(spark, str(tmp_path))
+    keeper.load({s: df for s, df in arrived(spark, deliveries, 0).items() if s != "payments"}, DAYS[0])
+    assert not [p for p in searched if "/versions/" in p]
+    # Payments are new now, invoices are not.
+    keeper.load({"payments": arrived(spark, deliveries, 0)["payments"]}, DAYS[0])
+    assert [p.rsplit("/", 1)[1] for p in searched if "/versions/" in p] == ["billing_invoices"]
+    same(keeper.silver(DAYS[0])[FRICTION], full(spark, arrived(spark, deliveries, 0), DAYS[0])[FRICTION])
