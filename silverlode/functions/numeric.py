@@ -51,6 +51,25 @@ def percentage(part: Column, total: Column) -> Column:
     return F.round(share, 2).cast("decimal(18,2)")
 
 
+# Fixed value: bits of the lower half of a whole number.
+_LOWER_BITS = 32
+
+
+def halves(col: Column, scale: int) -> tuple[Column, Column]:
+    """A decimal below 2^63 units of its last place in two whole numbers, of which some two billion can be added as such.
+
+    Sums of wide decimals are objects that every row makes anew; these are plain numbers, and as exact.
+    """
+    units = (col * F.lit(10**scale)).cast("bigint")
+    return F.shiftright(units, _LOWER_BITS), units.bitwiseAND(F.lit(2**_LOWER_BITS - 1))
+
+
+def from_halves(upper: Column, lower: Column, scale: int) -> Column:
+    """The sum of decimals from the sums of their ``halves``."""
+    units = upper.cast("decimal(20,0)") * F.lit(Decimal(2**_LOWER_BITS)) + lower.cast("decimal(20,0)")
+    return units * F.lit(Decimal(1).scaleb(-scale))
+
+
 def sum_given(name: str, how: str = "sum") -> Column:
     """A sum, or an average, which rows without the value do not touch; the result is that of all rows."""
     return F.expr(f"{how}(`{name}`) FILTER (WHERE `{name}` IS NOT NULL)")

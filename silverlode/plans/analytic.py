@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.functions import dates, text
+from silverlode.functions import dates, numeric, text
 from silverlode.operators.latest import latest_per_key
 from silverlode.operators.skew import join_apart
 
@@ -116,6 +116,10 @@ MEASURES: dict[str, tuple[str, object]] = {
     "avg_satisfaction_score": ("decimal(18,2)", F.avg),
 }
 
+# Types of measures that are added in halves, and the type Spark gives to their sum. The widest is the sum of two
+# decimals of 18 digits, which is below 2^63 units.
+HALVED = {"decimal(18,2)": "decimal(28,2)", "decimal(19,4)": "decimal(29,4)"}
+
 
 def _measure_rows(df: DataFrame, month: Column, measures: dict[str, Column]) -> DataFrame:
     """Rows in the shape all domains share: customer, month, and every measure."""
@@ -217,9 +221,33 @@ def friction_measures(
     pre-aggregated rows replaces a distinct union and five joins.
     """
     rows = friction_rows(billing, payments_of_invoices(payment, billing), usage, network, support)
-    return rows.groupBy("customer_id", "month_start").agg(
-        *[F.coalesce(how(name), F.lit(0)).alias(name) for name, (_, how) in MEASURES.items()]
-    )
+    return _zeros_for_missing(_monthly_totals(rows))
+
+
+def _zeros_for_missing(measures: DataFrame) -> DataFrame:
+    return measures.withColumns({name: F.coalesce(name, F.lit(0)) for name in MEASURES})
+
+
+def _monthly_totals(rows: DataFrame) -> DataFrame:
+    """Rows of ``friction_rows`` by customer and month; a measure without a row is missing.
+
+    A row touches only the sums of its own domain, and decimals are added as pairs of whole numbers.
+    """
+    added, sums, results = [], [], []
+    for name, (kind, how) in MEASURES.items():
+        if kind in HALVED and how is F.sum:
+            scale = rows.schema[name].dataType.scale
+            pair = [f"{name}_upper", f"{name}_lower"]
+            added += [half.alias(n) for n, half in zip(pair, numeric.halves(F.col(name), scale), strict=True)]
+            sums += [numeric.sum_given(n).alias(n) for n in pair]
+            result = numeric.from_halves(*map(F.col, pair), scale).cast(HALVED[kind])
+        else:
+            added.append(F.col(name))
+            sums.append(numeric.sum_given(name, "avg" if how is F.avg else "sum").alias(name))
+            result = F.col(name)
+        results.append(result.alias(name))
+    key = ["customer_id", "month_start"]
+    return rows.select(*key, *added).groupBy(*key).agg(*sums).select(*key, *results)
 
 
 def friction_monthly(
@@ -231,11 +259,18 @@ def friction_monthly(
     customer: DataFrame,
 ) -> DataFrame:
     """Billing, payment, usage, network and support friction of each customer-month, with the customer's region."""
-    return with_region(friction_measures(billing, payment, usage, network, support), customer)
+    rows = friction_rows(billing, payments_of_invoices(payment, billing), usage, network, support)
+    # Missing values move more cheaply than wide zeros.
+    return _zeros_for_missing(with_region(_monthly_totals(rows), customer))
+
+
+def _of_customers(rows: DataFrame, customer: DataFrame) -> DataFrame:
+    """Customer-months with one row per customer: that side is hashed, so wide rows are not sorted or copied for each join."""
+    return rows.join(customer.hint("shuffle_hash"), "customer_id", "left")
 
 
 def with_region(measures: DataFrame, customer: DataFrame) -> DataFrame:
-    return measures.join(customer.select("customer_id", "region"), "customer_id", "left").select(
+    return _of_customers(measures, customer.select("customer_id", "region")).select(
         "customer_id",
         dates.month_key(F.col("month_start")).alias("year_month"),
         "month_start",
@@ -311,14 +346,12 @@ def churn_features(
         (c("shock_tarifa") == 1).alias("tariff_shock"),
     )
     observed = F.last_day("month_start")
-    joined = (
-        friction.join(profile, "customer_id", "left")
-        .join(contract, "customer_id", "left")
-        .join(churn.select("customer_id", "churn_date"), "customer_id", "left")
-        # One row per past month with a four-digit year: at most 12 times as
-        # many rows as the year has, whatever the size of the other tables.
-        .join(F.broadcast(economy), "year_month", "left")
-    )
+    # These are narrow and one row per customer. Together first, they cost the wide customer-months one join instead of three.
+    known = profile.join(contract, "customer_id", "full").join(churn.select("customer_id", "churn_date"), "customer_id", "full")
+    joined = _of_customers(friction, known)
+    # One row per past month with a four-digit year: at most 12 times as
+    # many rows as the year has, whatever the size of the other tables.
+    joined = joined.join(F.broadcast(economy), "year_month", "left")
     due = (c("churn_date") > observed) & (c("churn_date") <= F.date_add(observed, LABEL_DAYS))
     return joined.filter(c("churn_date").isNull() | (c("churn_date") > observed)).select(
         *[friction[n] for n in friction.columns],

@@ -347,3 +347,33 @@ def test_months_of_contracts_do_not_move(spark):
             at = (at + dt.timedelta(days=32)).replace(day=1)
     found = {(r.month_start, r.base_monthly_price) for r in got.collect()}
     assert got.count() == len(want) and found == {(month, best[2]) for (_, month), best in want.items()}
+
+
+def test_customer_months_meet_their_customers_in_two_joins_and_are_not_sorted(spark):
+    billed = billing(spark, ("I1", "C1", D(2024, 1, 5), Decimal("9999999999999999.99"), Decimal("-0.01")),
+                     ("I2", "C1", D(2024, 1, 9), Decimal("9999999999999999.99"), Decimal("-9999999999999999.99")),
+                     ("I3", "C2", D(2024, 1, 9), None, None))
+    usage, network, support = empty_domains(spark)
+    customer = silver(
+        spark, "customer_id string, region string, age int, gender string, customer_segment string, senior_citizen boolean",
+        ("C1", "R1", 30, "MALE", "S", False), ("C3", "R3", 31, "MALE", "S", False))
+    friction = analytic.friction_monthly(
+        billed, payment(spark), usage, network, support.filter("false"), customer
+    ).filter("month_start IS NOT NULL")
+    subscriptions = silver(
+        spark, "customer_id string, subscription_id string, contract_start_date date, plan_tier string, contract_type string, base_monthly_price decimal(18,2)",
+        ("C2", "S2", D(2023, 1, 1), "GOLD", "ONE_YEAR", Decimal("5.00")))
+    macro = silver(
+        spark, "year_month string, ipc_index decimal(18,4), desempleo_pct decimal(18,4), inflacion_mensual decimal(18,4), "
+        "tipo_cambio_bob_usd decimal(18,6), shock_tarifa int")
+    churn = silver(spark, "customer_id string, churn_date date", ("C2", D(2024, 2, 9)), ("C4", D(2024, 2, 9)))
+    features = analytic.churn_features(friction, customer, subscriptions, macro, churn)
+    rows = {r["customer_id"]: r for r in features.collect()}
+    assert set(rows) == {"C1", "C2"}
+    assert rows["C1"]["billed_amount"] == Decimal("19999999999999999.98")
+    assert rows["C1"]["billing_amount_change"] == Decimal("-10000000000000000.00")
+    assert (rows["C1"]["region"], rows["C1"]["plan_tier"], rows["C1"]["label_churn_next_90d"]) == ("R1", None, 0)
+    assert (rows["C2"]["age"], rows["C2"]["plan_tier"], rows["C2"]["label_churn_next_90d"]) == (None, "GOLD", 1)
+    assert rows["C2"]["billed_amount"] == rows["C2"]["avg_latency_ms"] == 0
+    plan = features._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ShuffledHashJoin [customer_id") == 2, plan
